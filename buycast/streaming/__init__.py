@@ -1,0 +1 @@
+"""Empty on purpose: every input of this work is a bounded table, so no stream is defined."""
