@@ -214,8 +214,11 @@ def monthly_sales(df: DataFrame) -> DataFrame:
     )
     first = F.trunc(F.min("month_end"), "month")
     last = F.trunc(F.max("month_end"), "month")
-    months = sales.agg(F.sequence(first, last, F.expr("interval 1 month")).alias("months")).select(
-        F.last_day(F.explode("months")).alias("month_end"))
+    months = (
+        sales.agg(F.sequence(first, last, F.expr("interval 1 month")).alias("months"))
+        .select(F.explode("months").alias("first_day"))
+        .select(F.last_day("first_day").alias("month_end"))
+    )
     return (
         months.join(sales, "month_end", "left")
         .select("month_end", F.coalesce("payment", F.lit(0.0)).alias("payment"))

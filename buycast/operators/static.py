@@ -1,9 +1,12 @@
 """Static features: one row per (cut-off, customer) that sums up all order lines so far.
 
-Lines are first reduced to one partial row per customer and period, where a period lies between two
-neighbouring boundaries (cut-offs and label ends). Every state merges by max, min or sum, so the
-periods are then combined per cut-off. The order lines are shuffled once for any number of cut-offs,
-after map-side reduction, so a customer with a third of all lines sends one row per task.
+Lines are first reduced to one partial row per customer, period and null pattern. A period lies
+between two neighbouring boundaries (cut-offs and label ends). Rows with the same null pattern have
+the same columns set, so one "latest line" holds the last value of all of them: the state of a group
+is a single line instead of one (order, value) pair per column. Every state merges by max, min or
+sum, and the few partial rows of a customer are then combined per cut-off. The order lines are
+shuffled once for any number of cut-offs, after map-side reduction, so a customer with a third of
+all lines sends a few rows per task.
 """
 
 import datetime as dt
@@ -12,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from buycast.functions.numbers import finite, ratio
-from buycast.functions.times import days_since, monday_first_weekday, start_of, up_to
+from buycast.functions.times import start_of, up_to
 from buycast.operators.cutoffs import Cutoff, label_end
 
 ORIGIN = "2012-10-11"
@@ -61,99 +63,112 @@ _EXACT = T.DecimalType(18, 4)
 
 def _addable(df, name):
     """The column in a type whose sums do not depend on the order of the rows."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return F.col(name).cast(_EXACT)
-    return F.col(name)
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return f"cast({name} as decimal(18,4))"
+    return name
+
+
+def _null_pattern():
+    """One bit per column of LAST, set where the line has no value."""
+    return " | ".join(f"if({c} is null, {1 << i}, 0)" for i, c in enumerate(LAST))
 
 
 def _partial_rows(df, keys, order, extras):
-    """One row per ``keys`` holding the mergeable states."""
-    key = [F.col(c).alias(f"o{i}") for i, c in enumerate(order)]
-    states = {}
-    for c in LAST:
-        states[f"last_{c}"] = F.max(F.when(F.col(c).isNotNull(), F.struct(*key, F.col(c).alias("v"))))
+    """One row per ``keys`` and null pattern holding the mergeable states."""
+    key = ", ".join(f"'o{i}', {c}" for i, c in enumerate(order))
+    values = ", ".join(f"'{c}', {c}" for c in LAST)
+    states = {"latest": f"max(named_struct({key}, 'v', named_struct({values})))"}
     for c in SPREAD:
-        exact = F.col(c).cast(_EXACT)
-        states[f"min_{c}"] = F.min(c)
-        states[f"max_{c}"] = F.max(c)
-        states[f"square_{c}"] = F.sum(exact * exact)
-        states[f"sum_{c}"] = F.sum(exact)
-        states[f"n_{c}"] = F.count(c)
+        exact = f"cast({c} as decimal(18,4))"
+        states[f"min_{c}"] = f"min({c})"
+        states[f"max_{c}"] = f"max({c})"
+        states[f"square_{c}"] = f"sum({exact} * {exact})"
+        states[f"sum_{c}"] = f"sum({exact})"
+        states[f"n_{c}"] = f"count({c})"
     for c in MEAN_AND_SUM:
-        states[f"sum_{c}"] = F.sum(_addable(df, c))
-        states[f"n_{c}"] = F.count(c)
+        states[f"sum_{c}"] = f"sum({_addable(df, c)})"
+        states[f"n_{c}"] = f"count({c})"
     if extras:
-        states["sum_order_total_discount"] = F.sum(_addable(df, "order_total_discount"))
-        states["n_order_total_discount"] = F.count("order_total_discount")
-        states["sum_order_detail_goods_num"] = F.sum(_addable(df, "order_detail_goods_num"))
-    states["n_order_id"] = F.count("order_id")
-    states["n_goods_id"] = F.count("goods_id")
-    states["n_rows"] = F.count(F.lit(1))
-    return df.groupBy(*keys).agg(*[e.alias(n) for n, e in states.items()])
-
-
-def _merge(name, usable):
-    value = F.when(usable, F.col(name))
-    kind = name.split("_", 1)[0]
-    how = {"last": F.max, "max": F.max, "min": F.min}.get(kind, F.sum)
-    return how(value).alias(name)
+        states["sum_order_total_discount"] = f"sum({_addable(df, 'order_total_discount')})"
+        states["n_order_total_discount"] = "count(order_total_discount)"
+        states["sum_order_detail_goods_num"] = f"sum({_addable(df, 'order_detail_goods_num')})"
+    states["n_order_id"] = "count(order_id)"
+    states["n_goods_id"] = "count(goods_id)"
+    states["n_rows"] = "count(1)"
+    rows = df.withColumn("nulls", F.expr(_null_pattern()))
+    return rows.groupBy(*keys, "nulls").agg(*[F.expr(f"{e} AS {n}") for n, e in states.items()]).drop("nulls")
+
+
+def _merged_states(partial, keys, order, condition="true"):
+    """SQL aggregates that combine the partial rows for which ``condition`` holds."""
+    key = ", ".join(f"'o{i}', latest.o{i}" for i in range(len(order)))
+    out = []
+    for name in partial.columns:
+        if name == "latest":
+            for c in LAST:
+                pair = f"named_struct({key}, 'v', latest.v.{c})"
+                out.append(f"max(if({condition} AND latest.v.{c} is not null, {pair}, null)) AS last_{c}")
+        elif name not in keys:
+            how = {"max": "max", "min": "min"}.get(name.split("_", 1)[0], "sum")
+            out.append(f"{how}(if({condition}, {name}, null)) AS {name}")
+    return [F.expr(e) for e in out]
 
 
 def _std(c):
     """Sample standard deviation from exact sums: null for a single value, exactly 0 for equal ones."""
-    n, total, square = F.col(f"n_{c}"), F.col(f"sum_{c}"), F.col(f"square_{c}")
-    exact = F.try_subtract(F.try_multiply(square, n.cast("decimal(18,0)")), F.try_multiply(total, total))
-    rough = F.greatest(
-        square.cast("double") * n - F.pow(total.cast("double"), F.lit(2)), F.lit(0.0)
-    )
-    spread = F.coalesce(exact.cast("double"), rough)
-    return F.when(n > 1, F.sqrt(spread / (n.cast("double") * (n - 1))))
+    n, total, square = f"n_{c}", f"sum_{c}", f"square_{c}"
+    exact = f"try_subtract(try_multiply({square}, cast({n} as decimal(18,0))), try_multiply({total}, {total}))"
+    rough = f"greatest(cast({square} as double) * {n} - power(cast({total} as double), 2), 0D)"
+    spread = f"coalesce(cast({exact} as double), {rough})"
+    return f"if({n} > 1, sqrt({spread} / (cast({n} as double) * ({n} - 1))), null)"
+
+
+def _finish(origin, extras, day):
+    """(names, name → SQL) of the feature columns over merged states, still with nulls."""
+    def mean(c):
+        return f"cast(sum_{c} as double) / nullif(n_{c}, 0)"
+
+    def total(c):
+        return f"coalesce(cast(sum_{c} as double), 0D)"
 
+    def since(time):
+        return f"datediff(cast({time} as date), DATE'{origin}')"
 
-def _finish(df, origin, extras, day):
-    """Turn merged states into the feature columns, still with nulls."""
-    last = lambda c: F.col(f"last_{c}.v")
-    mean = lambda c: F.col(f"sum_{c}").cast("double") / F.nullif(F.col(f"n_{c}"), F.lit(0))
     out = {}
     for c in LAST:
         if c in UNSUFFIXED:
-            out[c] = last(c)
+            out[c] = f"last_{c}.v"
         elif not c.endswith("_time"):
-            out[f"{c}_last"] = last(c)
-    out["customer_gender"] = F.coalesce(last("customer_gender"), F.lit(0))
+            out[f"{c}_last"] = f"last_{c}.v"
+    out["customer_gender"] = "coalesce(last_customer_gender.v, 0)"
     for c in SPREAD:
-        out[f"{c}_min"], out[f"{c}_max"] = F.col(f"min_{c}"), F.col(f"max_{c}")
-        out[f"{c}_mean"], out[f"{c}_std"] = mean(c), _std(c)
-    out["order_count"], out["goods_count"] = F.col("n_order_id"), F.col("n_goods_id")
+        out[f"{c}_min"], out[f"{c}_max"], out[f"{c}_mean"], out[f"{c}_std"] = f"min_{c}", f"max_{c}", mean(c), _std(c)
+    out["order_count"], out["goods_count"] = "n_order_id", "n_goods_id"
     for c in MEAN_AND_SUM:
-        out[f"{c}_mean"] = mean(c)
-        out[f"{c}_sum"] = F.coalesce(F.col(f"sum_{c}").cast("double"), F.lit(0.0))
-    out["order_total_payment_sum"] = F.coalesce(F.col("sum_order_total_payment").cast("double"), F.lit(0.0))
-    out["order_detail_count"] = F.col("n_rows")
-    out["discount"] = finite(ratio(last("order_detail_amount"), last("order_detail_payment")))
-    paid = last("order_pay_time")
-    out["order_pay_time_last_m"], out["order_pay_time_last_d"] = F.month(paid), F.dayofmonth(paid)
-    out["order_pay_time_last_h"], out["order_pay_time_last_min"] = F.hour(paid), F.minute(paid)
-    out["order_pay_time_last_s"] = F.second(paid)
-    out["order_pay_time_last_weekday"] = monday_first_weekday(paid)
-    out["order_pay_time_last_diff"] = days_since(paid, origin)
-    listed, gone = days_since(last("goods_list_time"), origin), days_since(last("goods_delist_time"), origin)
+        out[f"{c}_mean"], out[f"{c}_sum"] = mean(c), total(c)
+    out["order_total_payment_sum"] = total("order_total_payment")
+    out["order_detail_count"] = "n_rows"
+    out["discount"] = "try_divide(cast(last_order_detail_amount.v as double), cast(last_order_detail_payment.v as double))"
+    paid = "last_order_pay_time.v"
+    clock = {"m": "month", "d": "day", "h": "hour", "min": "minute", "s": "second", "weekday": "weekday"}
+    for part, function in clock.items():
+        out[f"order_pay_time_last_{part}"] = f"{function}({paid})"
+    out["order_pay_time_last_diff"] = since(paid)
+    listed, gone = since("last_goods_list_time.v"), since("last_goods_delist_time.v")
     out["goods_list_time_diff"], out["goods_delist_time_diff"] = listed, gone
-    out["goods_time_diff"] = gone - listed
+    out["goods_time_diff"] = f"{gone} - {listed}"
     names = list(STATIC_COLUMNS)
     if extras:
-        out["days_since_last_order"] = F.datediff(day, F.to_date(paid))
+        out["days_since_last_order"] = f"datediff({day}, cast({paid} as date))"
         out["order_total_discount_mean"] = mean("order_total_discount")
-        out["order_detail_goods_num_sum"] = F.coalesce(
-            F.col("sum_order_detail_goods_num").cast("double"), F.lit(0.0))
+        out["order_detail_goods_num_sum"] = total("order_detail_goods_num")
         names += EXTRAS
     return names, out
 
 
 def _as_feature(name, value):
     """Numbers as double, so that every feature can hold the fill value; categories stay text."""
-    return (value if name in CATEGORIES else value.cast("double")).alias(name)
+    return F.expr(value if name in CATEGORIES else f"cast({value} as double)").alias(name)
 
 
 def fill_missing(df: DataFrame, value=MISSING, columns=None) -> DataFrame:
@@ -170,8 +185,9 @@ def agg_features(df: DataFrame, ord_col=("order_pay_time", "order_detail_id"), o
     be unique per customer. ``fill=None`` leaves nulls.
     """
     order = [ord_col] if isinstance(ord_col, str) else list(ord_col)
-    merged = _partial_rows(df.filter(F.col("customer_id").isNotNull()), ["customer_id"], order, extras)
-    names, out = _finish(merged, origin, extras, F.to_date(F.col("last_order_pay_time.v")))
+    partial = _partial_rows(df.filter(F.col("customer_id").isNotNull()), ["customer_id"], order, extras)
+    merged = partial.groupBy("customer_id").agg(*_merged_states(partial, ["customer_id"], order))
+    names, out = _finish(origin, extras, "cast(last_order_pay_time.v as date)")
     result = merged.select("customer_id", *[_as_feature(n, out[n]) for n in names])
     return result if fill is None else fill_missing(result, fill, names)
 
@@ -240,25 +256,26 @@ def customer_features(df: DataFrame, cutoffs: list[Cutoff], label_rule="month",
         partial = _partial_rows(rows, ["customer_id", "period"], order, extras)
     else:
         partial = rows.groupBy("customer_id", "period").agg(F.count(F.lit(1)).alias("n_rows"))
-    # at most len(boundaries) + 1 rows per customer from here on, so hashing by customer is even
+    # a few rows per customer (periods × null patterns) from here on, so hashing by customer is even
     spread = (
         partial.repartition("customer_id")
         .withColumn("use", F.explode(_uses_column(_uses(cutoffs, boundaries, label_rule))))
         .select("*", "use.cutoff_no", "use.part").drop("use", "period")
     )
-    state_names = [c for c in partial.columns if c not in ("customer_id", "period")]
-    is_feature = F.col("part") == 0
     merged = (
         spread.groupBy("cutoff_no", "customer_id")
-        .agg(*[_merge(n, is_feature) for n in state_names], F.max("part").alias("bought"))
+        .agg(
+            *_merged_states(partial, ["customer_id", "period"], order, "part = 0"),
+            F.max("part").alias("bought"),
+        )
         .filter(F.col("n_rows") > 0)
     )
-    day = by_number([c.day for c in cutoffs])
+    merged = merged.withColumn("cutoff", by_number([c.day for c in cutoffs]))
     label = F.when(by_number([c.has_label for c in cutoffs]), F.col("bought"))
-    names, out = _finish(merged, origin, extras, day) if with_static else ([], {})
+    names, out = _finish(origin, extras, "cutoff") if with_static else ([], {})
     return merged.select(
         by_number([c.split for c in cutoffs]).alias("split"),
-        day.alias("cutoff"),
+        "cutoff",
         "customer_id",
         *[_as_feature(n, out[n]) for n in names],
         label.cast("int").alias("label"),

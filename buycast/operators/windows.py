@@ -5,7 +5,6 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from buycast.functions.numbers import decay as decay_of
 from buycast.functions.times import as_date, days, start_of
 from buycast.operators.cutoffs import Cutoff
 from buycast.operators.static import by_number
@@ -48,46 +47,48 @@ def calendar(spark, start, end) -> DataFrame:
 
 
 class _Series:
-    """Aggregates of one daily value over windows of age a = cut-off day − day, 0 ≤ a < T."""
+    """SQL aggregates of one daily value over windows of age a = cut-off day − day, 0 ≤ a < T."""
 
     def __init__(self, value, active, variant, base):
-        self.x, self.active, self.variant, self.base = F.col(value), active, variant, base
+        self.x, self.active, self.variant, self.base = value, active, variant, base
 
     def inside(self, length, shift=0):
-        a = F.col("a") - shift
-        return (a >= 0) & (a < length)
+        return f"a >= {shift} AND a < {shift + length}"
 
     def total(self, length, shift=0):
-        return F.coalesce(F.sum(F.when(self.inside(length, shift), self.x)), F.lit(0.0))
+        return f"coalesce(sum(if({self.inside(length, shift)}, {self.x}, null)), 0D)"
 
     def decayed(self, length, shift=0):
-        weighted = self.x * decay_of(self.base, F.col("a") - shift)
-        return F.coalesce(F.sum(F.when(self.inside(length, shift), weighted)), F.lit(0.0))
+        weighted = f"{self.x} * power({self.base}D, a - {shift})"
+        return f"coalesce(sum(if({self.inside(length, shift)}, {weighted}, null)), 0D)"
 
     def highest(self, length, shift=0):
         """The maximum, where a day without a row counts as 0."""
-        top = F.max(F.when(self.inside(length, shift), self.x))
-        full = F.count_if(self.inside(length, shift)) == length
-        return F.when(full, top).otherwise(F.greatest(F.coalesce(top, F.lit(0.0)), F.lit(0.0)))
+        inside = self.inside(length, shift)
+        top = f"max(if({inside}, {self.x}, null))"
+        return f"if(count_if({inside}) = {length}, {top}, greatest(coalesce({top}, 0D), 0D))"
+
+    def _active_inside(self, length):
+        return f"{self.inside(length)} AND {self.active}"
 
     def active_days(self, length):
-        return F.count_if(self.inside(length) & self.active)
+        return f"count_if({self._active_inside(length)})"
 
     def last_active(self, length):
-        step = 1 if self.variant == "legacy" else 0
-        nearest = F.min(F.when(self.inside(length) & self.active, F.col("a") + step))
-        return F.coalesce(nearest, F.lit(length))
+        nearest = "a + 1" if self.variant == "legacy" else "a"
+        return f"coalesce(min(if({self._active_inside(length)}, {nearest}, null)), {length})"
 
     def first_active(self, length):
-        return F.coalesce(F.max(F.when(self.inside(length) & self.active, F.col("a") + 1)), F.lit(0))
+        return f"coalesce(max(if({self._active_inside(length)}, a + 1, null)), 0)"
 
     def block(self, number, length):
         return self.total(length, (number - 1) * length)
 
 
 def _features(payment_windows, goods_windows, base, variant):
-    pay = _Series("payment", F.col("payment") != 0, variant, base)
-    goods = _Series("goods", F.col("goods") > 0, variant, base)
+    """Feature name → SQL aggregate over rows with age ``a``, ``payment`` and ``goods``."""
+    pay = _Series("payment", "payment != 0", variant, base)
+    goods = _Series("goods", "goods > 0", variant, base)
     out = {}
     for n in payment_windows:
         out[f"payment_mean_{n}d_decay"] = pay.decayed(n)
@@ -101,10 +102,10 @@ def _features(payment_windows, goods_windows, base, variant):
     for i in (1, 2, 3):
         out[f"payment_sum_month_{i}_before"] = pay.block(i, 30)
     for n in goods_windows:
-        out[f"goods_mean_{n}d"] = goods.total(n) / n
+        out[f"goods_mean_{n}d"] = f"{goods.total(n)} / {n}"
         out[f"goods_max_{n}d"] = goods.highest(n)
         out[f"goods_sum_{n}d"] = goods.total(n)
-        out[f"goods_mean_{n}d_prev_week"] = goods.total(n, 7) / n
+        out[f"goods_mean_{n}d_prev_week"] = f"{goods.total(n, 7)} / {n}"
         out[f"goods_max_{n}d_prev_week"] = goods.highest(n, 7)
         out[f"goods_sum_{n}d_prev_week"] = goods.total(n, 7)
         out[f"goods_purchase_days_in_last_{n}d"] = goods.active_days(n)
@@ -151,19 +152,16 @@ def window_features(daily_rows: DataFrame, cutoffs: list[Cutoff], payment_window
                 F.datediff("c.day", "day").alias("a"))
     )
     features = _features(payment_windows, goods_windows, decay, variant)
-    extra = {"seen": F.count_if(F.col("a") >= 0)}
+    aggregates = [f"cast({e} as double) AS {n}" for n, e in features.items()]
+    aggregates.append("count_if(a >= 0) AS seen")
     if label:
-        bought = F.max(F.when(F.col("a").between(-LABEL_DAYS, -1), F.col("goods")))
-        extra["label"] = F.coalesce(bought > 0, F.lit(False)).cast("int")
-    out = aged.groupBy("cutoff_no", "customer_id").agg(
-        *[e.alias(n) for n, e in {**features, **extra}.items()]
-    )
+        bought = f"max(if(a BETWEEN -{LABEL_DAYS} AND -1, goods, null)) > 0"
+        aggregates.append(f"cast(coalesce({bought}, false) as int) AS label")
+    out = aged.groupBy("cutoff_no", "customer_id").agg(*[F.expr(e) for e in aggregates])
     if population == "upto_cutoff":
         out = out.filter(F.col("seen") > 0)
     return out.select(
         by_number([c.split for c in cutoffs]).alias("split"),
         by_number([c.day for c in cutoffs]).alias("cutoff"),
-        "customer_id",
-        *[F.col(n).cast("double").alias(n) for n in features],
-        *(["label"] if label else []),
+        "customer_id", *features, *(["label"] if label else []),
     )
