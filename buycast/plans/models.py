@@ -51,7 +51,9 @@ def get_estimator(name: str, features=None, params=None, label="label") -> Pipel
     if name == "fm":
         width = p.pop("numFeatures")
         return Pipeline(stages=[
-            HashingTF(inputCol="tokens", outputCol="features", numFeatures=width, binary=True),
+            HashingTF(inputCol="user_tokens", outputCol="user_vector", numFeatures=width, binary=True),
+            HashingTF(inputCol="item_tokens", outputCol="item_vector", numFeatures=width, binary=True),
+            VectorAssembler(inputCols=["user_vector", "item_vector"], outputCol="features"),
             FMClassifier(labelCol=label, featuresCol="features", **p),
         ])
     assemble = VectorAssembler(inputCols=list(features), outputCol="raw")
@@ -82,8 +84,9 @@ def evaluate(model: PipelineModel, df: DataFrame, label="label") -> DataFrame:
 
 
 def quick_auc(model: PipelineModel, df: DataFrame, label="label") -> float:
-    """Spark's own area under the curve, as a cross-check."""
-    return BinaryClassificationEvaluator(labelCol=label, numBins=0).evaluate(model.transform(df))
+    """Spark's own area under the curve of the probability, as a cross-check."""
+    judge = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability", numBins=0)
+    return judge.evaluate(model.transform(df))
 
 
 def learning_curve(name, train_df, eval_df, features=None, steps=(1, 5, 10, 20), params=None, label="label",
@@ -124,27 +127,3 @@ def importances(model: PipelineModel, names, spark, top=10) -> DataFrame:
     return table.orderBy(F.desc("importance"), "feature").limit(top)
 
 
-def sample_tokens(samples: DataFrame) -> DataFrame:
-    """Add ``tokens``: customer, candidate, its class, and the distinct history entries as text.
-
-    Hashed to a fixed width they become the sparse input of the factorisation model, whose pairwise
-    terms relate the candidate to the history.
-    """
-    def tag(prefix, col):
-        return F.concat(F.lit(prefix), col.cast("string"))
-
-    return samples.withColumn("tokens", F.concat(
-        F.array(tag("u", F.col("customer_id")), tag("g", F.col("candidate_good")), tag("c", F.col("candidate_class"))),
-        F.transform(F.array_distinct("history_goods"), lambda x: tag("hg", x)),
-        F.transform(F.array_distinct("history_classes"), lambda x: tag("hc", x)),
-    ))
-
-
-def fit_recommender(samples: DataFrame, params=None) -> PipelineModel:
-    return fit("fm", sample_tokens(samples), params=params)
-
-
-def score_candidates(model: PipelineModel, candidate_rows: DataFrame) -> DataFrame:
-    """(customer_id, candidate_good, probability) for samples or candidates, row by row as they are unpacked."""
-    return score(model, sample_tokens(candidate_rows), ("customer_id", "candidate_good")).withColumnRenamed(
-        "score", "probability")

@@ -11,6 +11,9 @@ SETTINGS = {
     # Per-customer tables hold one row per (cutoff, customer) and lie hashed by customer; a join on
     # both keys may use that layout as it is.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Checkpoints carry intermediate tables: keep them small, and drop them once unused.
+    "spark.checkpoint.compress": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Long column lists are built here; recording a call site for each expression doubles that time.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

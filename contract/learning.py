@@ -4,13 +4,15 @@ tests check ranking quality on data with a known signal."""
 from pyspark.sql import functions as F
 
 from buycast.operators.metrics import compare_runs
-from buycast.operators.sequences import encode_events, sequence_samples
-from buycast.operators.submit import flag_top_n, rollup_candidates
+from buycast.operators.encode import decode
+from buycast.operators.sequences import catalog, encode_events, histories, sequence_samples, target_customers
+from buycast.operators.submit import fill_template, flag_top_n, rollup_candidates
 from buycast.plans import models as L
+from buycast.plans import recommend as R
 from buycast.plans.features import build_splits, feature_columns
 from buycast.runtime import cut
 from buycast.sources import load_model, save_model
-from contract.common import FLOOR, KEY, ORIGIN, SPLITS, TEST_MONTH, TOP_N, TRAIN_MONTH, lines, query, scratch
+from contract.common import FLOOR, KEY, ORIGIN, PREDICT_MONTH, SPLITS, TEST_MONTH, TOP_N, TRAIN_MONTH, lines, query, scratch
 from contract.scoring import DAILY_COLUMNS, EVENT_COLUMNS
 
 SMALL = {"xgb": {"maxIter": 10}, "lgb": {"maxIter": 10}, "mlp": {"maxIter": 30}, "reg": {"maxIter": 100},
@@ -89,9 +91,24 @@ def feature_set_comparison(spark, sf):
 
 
 @query()
-def buyers_by_recommender(spark, sf):
-    """Factorisation model on the samples of one month, best candidate per customer in the next."""
+def recommender_scores_of_test_month(spark, sf):
+    """Metrics of the factorisation model, trained on one month, on the samples of the next."""
     events, _ = encode_events(lines(spark, sf, *EVENT_COLUMNS), KEY)
-    model = L.fit_recommender(sequence_samples(events, TRAIN_MONTH, KEY), SMALL["fm"])
-    scored = L.score_candidates(model, sequence_samples(events, TEST_MONTH, KEY))
-    return rollup_candidates(scored)
+    model = R.fit_recommender(cut(sequence_samples(events, TRAIN_MONTH, KEY)), SMALL["fm"])
+    samples = R.item_tokens(R.user_tokens(sequence_samples(events, TEST_MONTH, KEY)))
+    return L.evaluate(model, samples)
+
+
+@query()
+def buyers_by_recommender(spark, sf):
+    """Best good of the whole catalog for every listed customer, named by its original id, as a buyer list."""
+    events, codes = encode_events(lines(spark, sf, *EVENT_COLUMNS), KEY)
+    goods = catalog(events, KEY)
+    model = R.fit_recommender(cut(sequence_samples(events, TRAIN_MONTH, KEY, goods=goods)), SMALL["fm"])
+    listed = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("customer_id"))
+    targets = target_customers(listed, codes["customer"])
+    with_history = targets.join(histories(events, PREDICT_MONTH, KEY), "customer_idx", "left")
+    rolled = rollup_candidates(R.best_candidates(model, with_history, goods))
+    named = decode(rolled, codes["customer"], "customer_id", "original")
+    pred = named.select(F.col("original").alias("customer_id"), "result")
+    return fill_template(listed, pred)
