@@ -56,11 +56,20 @@ def profile_missing(df: DataFrame) -> DataFrame:
 
 
 def unique_counts(df: DataFrame, columns=None, approximate=False) -> DataFrame:
-    """(column, n_unique). The exact count shuffles each distinct value once; the other keeps sketches."""
+    """(column, n_unique). The exact count shuffles each distinct value once; the other keeps sketches.
+
+    Exact: a line becomes one short (column, value as text) row per column, and repeated pairs are
+    dropped before the shuffle.
+    """
     columns = columns or df.columns
-    how = F.approx_count_distinct if approximate else F.count_distinct
-    row = df.agg(*[how(F.col(c)).alias(f"c_{c}") for c in columns])
-    return _long(row, columns, {"n_unique": lambda n: F.col(f"c_{n}")})
+    if approximate:
+        row = df.agg(*[F.approx_count_distinct(F.col(c)).alias(f"c_{c}") for c in columns])
+        return _long(row, columns, {"n_unique": lambda n: F.col(f"c_{n}")})
+    entries = ", ".join(f"named_struct('i', {i}, 'v', cast(`{c}` as string))" for i, c in enumerate(columns))
+    seen = df.select(F.expr(f"inline(array({entries}))")).groupBy("i", "v").agg(F.lit(1).alias("one"))
+    names = F.array(*[F.lit(c) for c in columns])
+    counted = seen.groupBy("i").agg(F.count("v").alias("n_unique"))
+    return counted.select(F.get(names, F.col("i")).alias("column"), "n_unique")
 
 
 def exact_quantiles(df: DataFrame, columns, probs) -> DataFrame:
@@ -243,17 +252,21 @@ CORRELATED = [
 
 
 def correlations(df: DataFrame, columns=None) -> DataFrame:
-    """(a, b, corr) for all pairs, each over the rows where both are set; all pairs in one pass."""
+    """(a, b, corr) for all pairs, each over the rows where both are set; all pairs in one pass.
+
+    A line becomes one short row per pair, which the map-side aggregate folds into one state per pair.
+    """
     columns = columns or CORRELATED
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    row = df.agg(*[
-        F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs
-    ])
-    both_ways = [(a, b, f"{a}|{b}") for a, b in pairs] + [(b, a, f"{a}|{b}") for a, b in pairs if a != b]
-    return row.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{name}`").alias("corr"))
-        for a, b, name in both_ways
-    ])))
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    entries = ", ".join(f"named_struct('a', '{a}', 'b', '{b}', 'x', `{a}`, 'y', `{b}`)" for a, b in pairs)
+    found = (
+        doubles.select(F.expr(f"inline(array({entries}))"))
+        .groupBy("a", "b").agg(F.corr("x", "y").alias("corr"))
+    )
+    mirrored = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
+        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    return found.select("corr", F.explode(mirrored).alias("p")).select("p.a", "p.b", "corr")
 
 
 def narrow_types(df: DataFrame, null_fill=-999) -> DataFrame:

@@ -40,12 +40,16 @@ def goods_labels(daily_rows: DataFrame, cutoffs: list[Cutoff]) -> DataFrame:
 
 
 def feature_set(df: DataFrame, cutoffs: list[Cutoff], method="both", label_rule="month",
-                ord_col=("order_pay_time", "order_detail_id"), floor=FLOOR, origin=None, fill=MISSING) -> DataFrame:
+                ord_col=("order_pay_time", "order_detail_id"), floor=FLOOR, origin=None, fill=MISSING,
+                daily_rows: DataFrame | None = None) -> DataFrame:
     """(split, cutoff, customer_id, features, label) for all cut-offs in one plan.
 
     The customers of a cut-off are those with a line up to it. Static features and label come out of
     one pass over the lines; window features join them by (cut-off, customer), both sides having one
     row per pair. Missing values are filled last; ``fill=None`` leaves them null.
+
+    ``daily_rows`` may bring ready ``daily`` sums, for example from a source that reads fewer tables
+    for them than for ``df``.
     """
     names = feature_columns(method)
     extra = {} if origin is None else {"origin": origin}
@@ -54,7 +58,7 @@ def feature_set(df: DataFrame, cutoffs: list[Cutoff], method="both", label_rule=
         df, cutoffs, label_rule=None if by_goods else label_rule, ord_col=ord_col,
         with_static=method != "time", **extra,
     )
-    per_day = daily(df, floor)
+    per_day = daily(df, floor) if daily_rows is None else daily_rows
     if method != "agg":
         out = out.join(window_features(per_day, cutoffs), KEYS, "left")
     if by_goods:

@@ -2,7 +2,7 @@
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -80,29 +80,27 @@ def running_totals(df: DataFrame, order_col: str, sums, groups=()) -> DataFrame:
     return out.drop("_part", *[f"_{s}_offset" for s in sums])
 
 
-def top_k_per_key(df: DataFrame, keys, order, k: int, salts: int = 16) -> DataFrame:
+HOT_ROWS = 1_000_000
+
+
+def top_k_per_key(df: DataFrame, keys, order, k: int, hot_rows: int = HOT_ROWS, salts: int = 64) -> DataFrame:
     """The first ``k`` rows of each key in the order of ``order``.
 
-    Two rounds: first within (key, salt), then within the key over at most k · salts rows. In both
-    rounds the row_number limit also runs before the shuffle, so a key with a third of all rows
-    sends at most k rows per map task, spread over ``salts`` reducers.
+    The row_number limit also runs before the shuffle, so a map task sends at most k rows per key.
+    If some key has more than ``hot_rows`` rows (a count that shuffles one short row per key and
+    task), a first round limits within (key, salt), which spreads such a key over ``salts`` tasks;
+    the second round then sees at most k · salts rows of it. Both ways give the same rows.
     """
     keys = list(keys)
-    if salts > 1:
-        columns = [F.col(c) for c in df.columns]
-        df = df.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salts)))
+    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest > hot_rows:
+        df = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)))
         first = Window.partitionBy(*keys, "_salt").orderBy(*order)
         df = df.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= k).drop("_rank", "_salt")
     final = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(final)).filter(F.col("_rank") <= k).drop("_rank")
 
 
-def as_list(value):
-    if value is None:
-        return []
-    return [value] if isinstance(value, (str, Column)) else list(value)
-
-
 BROADCAST_ROWS = 1_000_000
 
 

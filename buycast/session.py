@@ -8,6 +8,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key in a join even where that costs another shuffle further on.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Per-customer tables hold one row per (cutoff, customer) and lie hashed by customer; a join on
     # both keys may use that layout as it is.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
@@ -33,6 +35,9 @@ def local_session(cpus=8, app="buycast", memory="8g"):
         .master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", memory)
+        # the small test files would all be broadcast, which leaves one task per file; with the
+        # larger ones shuffled, the plans are those of a cluster and use all cores
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

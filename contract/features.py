@@ -181,8 +181,10 @@ def window_features_with_goods_label(spark, sf):
 
 
 def _features(spark, sf, method, **options):
-    rows = lines(spark, sf) if method != "time" else lines(spark, sf, *DAILY_COLUMNS)
-    return feature_set(rows, SPLITS, method, ord_col=KEY, floor=FLOOR, origin=ORIGIN, **options)
+    narrow = lines(spark, sf, *DAILY_COLUMNS)
+    rows = lines(spark, sf) if method != "time" else narrow
+    return feature_set(
+        rows, SPLITS, method, ord_col=KEY, origin=ORIGIN, daily_rows=daily(narrow, FLOOR), **options)
 
 
 @query(with_od("SELECT * FROM features", cuts_sql(SPLITS), *feature_sql_ctes("agg")))
@@ -233,7 +235,8 @@ _ENCODED_BOTH = with_od(
 
 @query(_ENCODED_BOTH)
 def encoded_splits(spark, sf):
-    splits = build_splits(lines(spark, sf), SPLITS, "both", ord_col=KEY, floor=FLOOR, origin=ORIGIN)
+    per_day = daily(lines(spark, sf, *DAILY_COLUMNS), FLOOR)
+    splits = build_splits(lines(spark, sf), SPLITS, "both", ord_col=KEY, origin=ORIGIN, daily_rows=per_day)
     out = None
     for name, table in splits.items():
         table = table.withColumn("split", F.lit(name))
