@@ -13,7 +13,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from buycast.functions.times import start_of, up_to
 from buycast.operators.cutoffs import Cutoff, label_end
@@ -58,14 +57,6 @@ STATIC_COLUMNS = (
 )
 
 REQUIRED = sorted(set(LAST) | {"customer_id", "order_id"})
-_EXACT = T.DecimalType(18, 4)
-
-
-def _addable(df, name):
-    """The column in a type whose sums do not depend on the order of the rows."""
-    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return f"cast({name} as decimal(18,4))"
-    return name
 
 
 def _null_pattern():
@@ -86,12 +77,12 @@ def _partial_rows(df, keys, order, extras):
         states[f"sum_{c}"] = f"sum({exact})"
         states[f"n_{c}"] = f"count({c})"
     for c in MEAN_AND_SUM:
-        states[f"sum_{c}"] = f"sum({_addable(df, c)})"
+        states[f"sum_{c}"] = f"sum({c})"
         states[f"n_{c}"] = f"count({c})"
     if extras:
-        states["sum_order_total_discount"] = f"sum({_addable(df, 'order_total_discount')})"
+        states["sum_order_total_discount"] = "sum(order_total_discount)"
         states["n_order_total_discount"] = "count(order_total_discount)"
-        states["sum_order_detail_goods_num"] = f"sum({_addable(df, 'order_detail_goods_num')})"
+        states["sum_order_detail_goods_num"] = "sum(order_detail_goods_num)"
     states["n_order_id"] = "count(order_id)"
     states["n_goods_id"] = "count(goods_id)"
     states["n_rows"] = "count(1)"

@@ -3,10 +3,13 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from buycast.operators.clean import align
+from buycast.operators.clean import align, label_buyers, upto
 from buycast.operators.cutoffs import Cutoff
-from buycast.operators.encode import apply_codes, fit_codes
-from buycast.operators.static import CATEGORIES, MISSING, STATIC_COLUMNS, by_number, customer_features, fill_missing
+from buycast.operators.encode import apply_codes, encode_each, fit_codes
+from buycast.operators.profile import narrow_types
+from buycast.operators.static import (
+    CATEGORIES, MISSING, ORIGIN, STATIC_COLUMNS, agg_features, by_number, customer_features, fill_missing,
+)
 from buycast.operators.windows import FLOOR, LABEL_DAYS, daily, window_columns, window_features
 from buycast.runtime import cut
 
@@ -88,3 +91,25 @@ def build_splits(df: DataFrame, cutoffs: list[Cutoff], method="both", train="tra
         )
         for c in cutoffs
     }
+
+
+def single_cutoff_tables(df: DataFrame, day, ord_col=("order_pay_time", "order_detail_id"), origin=ORIGIN):
+    """(train, test) of static features: train up to ``day`` with the label "any later line", test over all lines.
+
+    Province and city get codes per table, so the codes of the two tables are not comparable.
+    """
+    train = agg_features(upto(df, day), ord_col, origin)
+    buyers = label_buyers(df, day, "open").withColumn("label", F.lit(1))
+    train = train.join(buyers, "customer_id", "left").withColumn("label", F.coalesce("label", F.lit(0)))
+    train, test = cut(train), cut(agg_features(df, ord_col, origin))
+    for col in CATEGORIES:
+        train, test = encode_each([train, test], col)
+    return train, test
+
+
+def slot_tables(daily_rows: DataFrame, train_slots: list[Cutoff], scoring_slot: Cutoff):
+    """(train, test) of window features by slots: all train slots stacked with their 30-day goods label, and the
+    scoring slot without one. Both hold every customer of ``daily_rows`` and use the smallest column types."""
+    train = window_features(daily_rows, train_slots, variant="legacy", population="all", label=True)
+    test = window_features(daily_rows, [scoring_slot], variant="legacy", population="all")
+    return narrow_types(cut(train)), narrow_types(cut(test))

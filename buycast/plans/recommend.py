@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from buycast.functions.numbers import or_empty
+from buycast.operators.encode import decode
+from buycast.operators.sequences import catalog, encode_events, histories, sequence_samples, target_customers
+from buycast.operators.submit import fill_template, rollup_candidates
 from buycast.plans.models import fit, score
 from buycast.runtime import cut
 
@@ -125,3 +128,20 @@ def best_candidates(model: PipelineModel, customers: DataFrame, goods: DataFrame
     best_row = F.max(F.struct("probability", (-F.col("candidate_good")).alias("g")))
     return parts.groupBy("customer_id").agg(best_row.alias("b")).select(
         "customer_id", (-F.col("b.g")).alias("candidate_good"), "b.probability")
+
+
+def recommend_buyers(lines: DataFrame, template: DataFrame, train_month: str, predict_month: str, ord_col,
+                     params=None, threshold=0.5) -> DataFrame:
+    """(customer_id, result) for every row of the template: 1 if some good of the catalog scores above ``threshold``.
+
+    Learns on the samples of ``train_month`` and scores the histories before ``predict_month``.
+    Customers without any line get 0.
+    """
+    events, codes = encode_events(lines, ord_col)
+    goods = catalog(events, ord_col)
+    model = fit_recommender(cut(sequence_samples(events, train_month, ord_col, goods=goods)), params)
+    targets = target_customers(template, codes["customer"])
+    with_history = targets.join(histories(events, predict_month, ord_col), "customer_idx", "left")
+    rolled = rollup_candidates(best_candidates(model, with_history, goods), threshold)
+    named = decode(rolled, codes["customer"], "customer_id", "original")
+    return fill_template(template, named.select(F.col("original").alias("customer_id"), "result"))

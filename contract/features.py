@@ -7,9 +7,10 @@ from buycast.operators.encode import apply_codes, dense_ids, encode_each, fit_co
 from buycast.operators.profile import narrow_types
 from buycast.operators.static import agg_features
 from buycast.operators.windows import daily, pivot_daily, window_features
-from buycast.plans.features import build_splits, feature_set
+from buycast.plans.features import build_splits, feature_set, single_cutoff_tables, slot_tables
 from buycast.sources import (
-    events_as_orders, order_detail, read_customers, read_features, read_order_detail, write_csv, write_features,
+    events_as_orders, read_codes, read_customers, read_features, read_order_detail, write_codes, write_csv,
+    write_features,
 )
 from contract.common import (
     FLOOR, KEY, ORIGIN, SCORING, SPLITS, TRAIN, VALIDATION, WEEKLY, cuts_sql, lines, plain, query, r, scratch, with_od,
@@ -324,6 +325,66 @@ def goods_class_map(spark, sf):
     return plain(last_pair(rows, "goods_id", "goods_class_id", KEY))
 
 
+@query(with_od("SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS BIGINT) AS idx FROM "
+               "(SELECT DISTINCT customer_province AS value FROM od WHERE customer_province IS NOT NULL)"))
+def stored_province_codes(spark, sf):
+    """A dictionary written and read back."""
+    root = scratch(spark, "codes")
+    write_codes(fit_codes(lines(spark, sf, "customer_province"), "customer_province"), root, "province")
+    return plain(read_codes(spark, root, "province"))
+
+
+def _frame_sql(condition, label):
+    codes = [f"""code_{c} AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (
+      SELECT DISTINCT {c} AS v FROM static))""" for c in ("customer_province", "customer_city")]
+    buyers = f"later AS (SELECT DISTINCT customer_id FROM od WHERE order_pay_time >= DATE '{VALIDATION}' + 1)"
+    return with_od(f"""SELECT s.* REPLACE (CAST(cp.code AS BIGINT) AS customer_province,
+        CAST(cc.code AS BIGINT) AS customer_city){label}
+      FROM static s JOIN code_customer_province cp ON cp.v = s.customer_province
+      JOIN code_customer_city cc ON cc.v = s.customer_city LEFT JOIN later l ON l.customer_id = s.customer_id""",
+                   f"static AS (SELECT customer_id, {as_select(static_items() + places())} FROM od WHERE {condition} "
+                   "GROUP BY customer_id)", buyers, *codes)
+
+
+@query(_frame_sql(f"order_pay_time < DATE '{VALIDATION}' + 1",
+                  ", CAST(l.customer_id IS NOT NULL AS BIGINT) AS label"))
+def single_cutoff_train(spark, sf):
+    return plain(single_cutoff_tables(lines(spark, sf), VALIDATION, KEY, ORIGIN)[0])
+
+
+@query(_frame_sql("true", ""))
+def single_cutoff_test(spark, sf):
+    return plain(single_cutoff_tables(lines(spark, sf), VALIDATION, KEY, ORIGIN)[1])
+
+
+def _slot_types_sql():
+    """Type, minimum and row count of each narrowed column of the stacked weekly slots."""
+    names_ = names(window_items())
+    parts = []
+    for n in [*names_, "label"]:
+        parts.append(f"""SELECT '{n}' AS "column", CASE
+          WHEN sum(abs({n} - trunc({n}))) >= 0.01 THEN 'float'
+          WHEN min({n}) >= 0 THEN CASE WHEN max({n}) <= 255 THEN 'smallint' WHEN max({n}) <= 65535 THEN 'int'
+            WHEN max({n}) <= 4294967295 THEN 'bigint' ELSE 'decimal(20,0)' END
+          WHEN min({n}) >= -128 AND max({n}) <= 127 THEN 'tinyint'
+          WHEN min({n}) >= -32768 AND max({n}) <= 32767 THEN 'smallint'
+          WHEN min({n}) >= -2147483648 AND max({n}) <= 2147483647 THEN 'int' ELSE 'bigint' END AS dtype,
+          CAST(count(*) AS BIGINT) AS n FROM slots""")
+    inner = _window_sql(WEEKLY, "legacy", "all", True)
+    head, tail = inner.rsplit("\nSELECT", 1)
+    return f"{head},\nslots AS (SELECT{tail})\n" + " UNION ALL ".join(parts)
+
+
+@query(_slot_types_sql())
+def narrowed_slot_columns(spark, sf):
+    train, _ = slot_tables(daily(lines(spark, sf, *DAILY_COLUMNS), FLOOR), WEEKLY, SCORING[0])
+    kept = [c for c in train.columns if c not in ("split", "cutoff", "customer_id")]
+    types = dict(train.dtypes)
+    counted = train.agg(F.count(F.lit(1)).alias("n"))
+    return plain(counted.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"), F.col("n")) for c in kept]))))
+
+
 _NARROWED = ["order_id", "order_total_num", "order_amount", "customer_gender", "goods_price", "member_id", "order_status"]
 
 
@@ -350,6 +411,3 @@ def narrowed_types(spark, sf):
     return plain(low.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"), F.col(c).alias("lo")) for c in _NARROWED
     ]))))
-
-
-__all__ = ["order_detail"]

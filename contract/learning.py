@@ -4,9 +4,8 @@ tests check ranking quality on data with a known signal."""
 from pyspark.sql import functions as F
 
 from buycast.operators.metrics import compare_runs
-from buycast.operators.encode import decode
-from buycast.operators.sequences import catalog, encode_events, histories, sequence_samples, target_customers
-from buycast.operators.submit import fill_template, flag_top_n, rollup_candidates
+from buycast.operators.sequences import encode_events, sequence_samples
+from buycast.operators.submit import flag_top_n
 from buycast.plans import models as L
 from buycast.plans import recommend as R
 from buycast.plans.features import build_splits, feature_columns
@@ -101,14 +100,6 @@ def recommender_scores_of_test_month(spark, sf):
 
 @query()
 def buyers_by_recommender(spark, sf):
-    """Best good of the whole catalog for every listed customer, named by its original id, as a buyer list."""
-    events, codes = encode_events(lines(spark, sf, *EVENT_COLUMNS), KEY)
-    goods = catalog(events, KEY)
-    model = R.fit_recommender(cut(sequence_samples(events, TRAIN_MONTH, KEY, goods=goods)), SMALL["fm"])
+    """Best good of the whole catalog for every listed customer, as a buyer list."""
     listed = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("customer_id"))
-    targets = target_customers(listed, codes["customer"])
-    with_history = targets.join(histories(events, PREDICT_MONTH, KEY), "customer_idx", "left")
-    rolled = rollup_candidates(R.best_candidates(model, with_history, goods))
-    named = decode(rolled, codes["customer"], "customer_id", "original")
-    pred = named.select(F.col("original").alias("customer_id"), "result")
-    return fill_template(listed, pred)
+    return R.recommend_buyers(lines(spark, sf, *EVENT_COLUMNS), listed, TRAIN_MONTH, PREDICT_MONTH, KEY, SMALL["fm"])

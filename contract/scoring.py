@@ -13,8 +13,9 @@ from buycast.operators.submit import fill_template, flag_top_n, predicted_buyers
 from buycast.plans.features import feature_set
 from buycast.plans.models import standardize
 from buycast.runtime import cut
+from buycast.sources import write_candidates
 from contract.common import (
-    FLOOR, KEY, ORIGIN, PREDICT_MONTH, SPLITS, TEST_MONTH, TOP_N, TRAIN_MONTH, cuts_sql, lines, plain, query, r, with_od,
+    FLOOR, KEY, ORIGIN, PREDICT_MONTH, SPLITS, TEST_MONTH, TOP_N, TRAIN_MONTH, cuts_sql, lines, plain, query, r, scratch, with_od,
 )
 
 DAILY_COLUMNS = ("customer_id", "order_pay_time", "order_total_payment", "order_total_num")
@@ -109,6 +110,24 @@ def sequence_samples_test(spark, sf):
     return plain(sequence_samples(events, TEST_MONTH, KEY))
 
 
+_CHUNK = 100
+
+
+@query(with_od(f"""SELECT CAST((s.customer_idx - 1) // {_CHUNK} AS BIGINT) AS chunk, CAST(count(*) AS BIGINT) AS n,
+    CAST(count(DISTINCT s.customer_idx) AS BIGINT) AS customers, CAST(sum(goods_idx) AS BIGINT) AS goods_total
+  FROM (SELECT customer_idx, goods_idx FROM targets UNION ALL SELECT customer_idx, goods_idx FROM neg) s GROUP BY 1""",
+               IDS, _negative_ctes(TEST_MONTH)))
+def chunked_samples(spark, sf):
+    """Samples written in chunks of customers and read back."""
+    path = scratch(spark, "chunks")
+    events, _ = _events(spark, sf)
+    write_candidates(sequence_samples(events, TEST_MONTH, KEY), path, customers_per_chunk=_CHUNK)
+    stored = spark.read.parquet(path)
+    return plain(stored.groupBy("chunk").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("customer_id").alias("customers"),
+        F.sum("candidate_good").alias("goods_total")))
+
+
 # Candidates are customers × goods rows. The checks reduce them where they appear, over all of them.
 
 _CANDIDATES = [IDS, _history(PREDICT_MONTH), """
