@@ -11,7 +11,7 @@ from buycast.operators.static import (
     CATEGORIES, MISSING, ORIGIN, STATIC_COLUMNS, agg_features, by_number, customer_features, fill_missing,
 )
 from buycast.operators.windows import FLOOR, LABEL_DAYS, daily, window_columns, window_features
-from buycast.runtime import cut
+from buycast.runtime import stored
 
 KEYS = ["split", "cutoff", "customer_id"]
 METHODS = ("agg", "time", "both")
@@ -80,7 +80,7 @@ def build_splits(df: DataFrame, cutoffs: list[Cutoff], method="both", train="tra
     features are written once before that, since the dictionary and every split read them.
     """
     names = feature_columns(method)
-    features = cut(feature_set(df, cutoffs, method, **options))
+    features = stored(feature_set(df, cutoffs, method, **options))
     for col in CATEGORIES if method != "time" else []:
         codes = fit_codes(features.filter(F.col("split") == train), col)
         features = apply_codes(features, codes, col)
@@ -101,7 +101,7 @@ def single_cutoff_tables(df: DataFrame, day, ord_col=("order_pay_time", "order_d
     train = agg_features(upto(df, day), ord_col, origin)
     buyers = label_buyers(df, day, "open").withColumn("label", F.lit(1))
     train = train.join(buyers, "customer_id", "left").withColumn("label", F.coalesce("label", F.lit(0)))
-    train, test = cut(train), cut(agg_features(df, ord_col, origin))
+    train, test = stored(train), stored(agg_features(df, ord_col, origin))
     for col in CATEGORIES:
         train, test = encode_each([train, test], col)
     return train, test
@@ -112,4 +112,4 @@ def slot_tables(daily_rows: DataFrame, train_slots: list[Cutoff], scoring_slot:
     scoring slot without one. Both hold every customer of ``daily_rows`` and use the smallest column types."""
     train = window_features(daily_rows, train_slots, variant="legacy", population="all", label=True)
     test = window_features(daily_rows, [scoring_slot], variant="legacy", population="all")
-    return narrow_types(cut(train)), narrow_types(cut(test))
+    return narrow_types(stored(train)), narrow_types(stored(test))

@@ -16,7 +16,7 @@ from buycast.operators.encode import decode
 from buycast.operators.sequences import catalog, encode_events, histories, sequence_samples, target_customers
 from buycast.operators.submit import fill_template, rollup_candidates
 from buycast.plans.models import fit, score
-from buycast.runtime import cut
+from buycast.runtime import stored
 
 GOODS_PER_PASS = 65_536
 ROWS_PER_PRODUCT = 128
@@ -90,7 +90,7 @@ def best_candidates(model: PipelineModel, customers: DataFrame, goods: DataFrame
 
     last = goods.agg(F.max("goods_idx")).first()[0] or 0
     if last > goods_per_pass:
-        users = cut(users)
+        users = stored(users)
     parts = None
     for low in range(1, last + 1, goods_per_pass):
         some = catalog.filter(F.col("candidate_good").between(low, low + goods_per_pass - 1)).collect()
@@ -139,7 +139,7 @@ def recommend_buyers(lines: DataFrame, template: DataFrame, train_month: str, pr
     """
     events, codes = encode_events(lines, ord_col)
     goods = catalog(events, ord_col)
-    model = fit_recommender(cut(sequence_samples(events, train_month, ord_col, goods=goods)), params)
+    model = fit_recommender(stored(sequence_samples(events, train_month, ord_col, goods=goods)), params)
     targets = target_customers(template, codes["customer"])
     with_history = targets.join(histories(events, predict_month, ord_col), "customer_idx", "left")
     rolled = rollup_candidates(best_candidates(model, with_history, goods), threshold)

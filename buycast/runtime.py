@@ -1,6 +1,7 @@
 """Shared building blocks: lineage cuts, exact global order, running totals, top-k per key."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +26,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet below the checkpoint folder and read it back.
+
+    Also cuts the lineage. For tables that several later steps read in part: those scans then take
+    only their columns, and skip row groups by their filters.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _laid_out(df: DataFrame, order) -> DataFrame:
     """``df`` range-sorted and fixed on disk, with its partition number ``_part``."""
     return cut(df.orderBy(*order)).withColumn("_part", F.spark_partition_id())

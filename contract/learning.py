@@ -9,7 +9,7 @@ from buycast.operators.submit import flag_top_n
 from buycast.plans import models as L
 from buycast.plans import recommend as R
 from buycast.plans.features import build_splits, feature_columns
-from buycast.runtime import cut
+from buycast.runtime import stored
 from buycast.sources import load_model, save_model
 from contract.common import FLOOR, KEY, ORIGIN, PREDICT_MONTH, SPLITS, TEST_MONTH, TOP_N, TRAIN_MONTH, lines, query, scratch
 from contract.scoring import DAILY_COLUMNS, EVENT_COLUMNS
@@ -22,7 +22,7 @@ TIME = feature_columns("time")
 def _splits(spark, sf, method="time"):
     rows = lines(spark, sf) if method != "time" else lines(spark, sf, *DAILY_COLUMNS)
     tables = build_splits(rows, SPLITS, method, ord_col=KEY, floor=FLOOR, origin=ORIGIN)
-    return {name: cut(table) for name, table in tables.items()}
+    return {name: stored(table) for name, table in tables.items()}
 
 
 def _scores(spark, sf, name):
@@ -93,7 +93,7 @@ def feature_set_comparison(spark, sf):
 def recommender_scores_of_test_month(spark, sf):
     """Metrics of the factorisation model, trained on one month, on the samples of the next."""
     events, _ = encode_events(lines(spark, sf, *EVENT_COLUMNS), KEY)
-    model = R.fit_recommender(cut(sequence_samples(events, TRAIN_MONTH, KEY)), SMALL["fm"])
+    model = R.fit_recommender(stored(sequence_samples(events, TRAIN_MONTH, KEY)), SMALL["fm"])
     samples = R.item_tokens(R.user_tokens(sequence_samples(events, TEST_MONTH, KEY)))
     return L.evaluate(model, samples)
 

@@ -12,7 +12,7 @@ from buycast.operators.sequences import (
 from buycast.operators.submit import fill_template, flag_top_n, predicted_buyers, rollup_candidates
 from buycast.plans.features import feature_set
 from buycast.plans.models import standardize
-from buycast.runtime import cut
+from buycast.runtime import stored
 from buycast.sources import write_candidates
 from contract.common import (
     FLOOR, KEY, ORIGIN, PREDICT_MONTH, SPLITS, TEST_MONTH, TOP_N, TRAIN_MONTH, cuts_sql, lines, plain, query, r, scratch, with_od,
@@ -193,7 +193,7 @@ def _scored(spark, sf):
     table = feature_set(lines(spark, sf, *DAILY_COLUMNS), SPLITS, "time", ord_col=KEY, floor=FLOOR, origin=ORIGIN, fill=None)
     spend = F.coalesce("payment_sum_91d", F.lit(0.0))
     kept = table.filter(F.col("split") == "validation").select("customer_id", (spend / 1_000_000 - 1).alias("z"), "label")
-    return cut(kept.withColumn("score", F.round(sigmoid(F.col("z")), 3)))
+    return stored(kept.withColumn("score", F.round(sigmoid(F.col("z")), 3)))
 
 
 _TOP = f"""
