@@ -72,15 +72,20 @@ def unique_counts(df: DataFrame, columns=None, approximate=False) -> DataFrame:
     return counted.select(F.get(names, F.col("i")).alias("column"), "n_unique")
 
 
+def _values(df, columns):
+    """(column, value) rows of the set values, as double. Keeps per-column aggregates small for any number of columns."""
+    entries = ", ".join(f"named_struct('column', '{c}', 'value', cast(`{c}` as double))" for c in columns)
+    rows = df.select(F.expr(f"inline(array({entries}))"))
+    return rows.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
 def exact_quantiles(df: DataFrame, columns, probs) -> DataFrame:
     """(column, p0, p1, …): exact quantiles with linear interpolation between neighbours.
 
     Values are counted first, so repeated values are one row; ranks come from running totals over
     the sorted distinct values, which stay range-partitioned. No task holds a whole column.
     """
-    values = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
-    ]))).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    values = _values(df, columns)
     counts = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     ranked = running_totals(counts, "value", ["n"], groups=["column"])
     # one row per profiled column
@@ -108,23 +113,21 @@ def quantile(df: DataFrame, col: str, q: float, method="exact") -> DataFrame:
 def describe_numeric(df: DataFrame, columns=None, method="exact") -> DataFrame:
     """(column, count, mean, std, min, q25, q50, q75, max)."""
     columns = columns or numeric_columns(df)
-    x = {c: F.when(~_is_missing(df, c), F.col(c).cast("double")) for c in columns}
-    aggregates = []
-    for c in columns:
-        aggregates += [
-            F.count(x[c]).alias(f"count_{c}"), F.avg(x[c]).alias(f"mean_{c}"),
-            F.stddev_samp(x[c]).alias(f"std_{c}"), F.min(x[c]).alias(f"min_{c}"), F.max(x[c]).alias(f"max_{c}"),
-        ]
-        if method == "approx":
-            aggregates.append(F.percentile_approx(x[c], [0.25, 0.5, 0.75], 10_000).alias(f"q_{c}"))
-    fields = {f: (lambda n, f=f: F.col(f"{f}_{n}")) for f in ("count", "mean", "std", "min", "max")}
+    x = F.col("value")
+    basics = [
+        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+        F.min(x).alias("min"), F.max(x).alias("max"),
+    ]
+    per_column = _values(df, columns).groupBy("column")
     if method == "approx":
-        fields.update({f"q{p}": (lambda n, i=i: F.col(f"q_{n}")[i]) for i, p in enumerate((25, 50, 75))})
-        out = _long(df.agg(*aggregates), columns, fields)
+        rows = per_column.agg(*basics, F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000).alias("q"))
+        rows = rows.withColumns({f"q{p}": F.col("q")[i] for i, p in enumerate((25, 50, 75))})
     else:
-        basics = _long(df.agg(*aggregates), columns, fields)
         quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).toDF("column", "q25", "q50", "q75")
-        out = basics.join(quartiles, "column", "left")
+        rows = per_column.agg(*basics).join(quartiles, "column", "left")
+    # one row per column; a column without values shows with count 0
+    listed = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
+    out = listed.join(rows, "column", "left").withColumn("count", F.coalesce("count", F.lit(0)))
     return out.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
@@ -281,22 +284,22 @@ def narrow_types(df: DataFrame, null_fill=-999) -> DataFrame:
         F.when(_is_missing(df, c), F.lit(null_fill)).otherwise(F.col(c)).alias(c) if c in names else F.col(c)
         for c in df.columns
     ])
-    checks = []
-    for c in names:
-        x = F.col(c)
-        is_float = isinstance(filled.schema[c].dataType, (T.DoubleType, T.FloatType))
-        wild = F.count_if(x.isin(float("inf"), float("-inf"))) if is_float else F.lit(0)
-        finite = F.when(~x.isin(float("inf"), float("-inf")), x) if is_float else x
-        off = F.sum(F.abs(finite - F.when(x >= 0, F.floor(finite)).otherwise(F.ceil(finite))).cast("double"))
-        checks.append(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"), wild.alias("wild"), off.alias("off")).alias(c))
-    stats = filled.agg(*checks).first() if names else {}
+    x = F.col("value")
+    finite = ~x.isin(float("inf"), float("-inf"))
+    whole_part = F.when(x >= 0, F.floor(x)).otherwise(F.ceil(x))
+    found = _values(filled, names).groupBy("column").agg(
+        F.min(x).alias("lo"), F.max(x).alias("hi"), F.sum(F.when(finite, F.abs(x - whole_part))).alias("off"),
+        F.count_if(~finite).alias("wild"),
+    ) if names else None
+    # one row per column
+    stats = {r["column"]: r for r in found.collect()} if names else {}
     casts = []
     for c in df.columns:
-        if c not in names or stats[c]["lo"] is None:
+        if c not in stats:
             casts.append(F.col(c))
             continue
         s = stats[c]
-        whole = s["wild"] == 0 and s["off"] < 0.01
+        whole = s["wild"] == 0 and s["off"] < 0.01  # infinities leave no usable sum
         casts.append(F.col(c).cast(_smallest(s["lo"], s["hi"]) if whole else "float").alias(c))
     return filled.select(*casts)
 

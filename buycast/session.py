@@ -13,6 +13,8 @@ SETTINGS = {
     # Per-customer tables hold one row per (cutoff, customer) and lie hashed by customer; a join on
     # both keys may use that layout as it is.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # The generated code of some 95 window aggregates is one large method; this lets it be compiled.
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     # Checkpoints carry intermediate tables: keep them small, and drop them once unused.
     "spark.checkpoint.compress": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
