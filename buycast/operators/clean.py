@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from buycast.functions.times import after, month_window, up_to, year_month
+from buycast.functions.times import after, up_to, year_month
 from buycast.operators.cutoffs import label_end
 
 
@@ -54,9 +54,3 @@ def labelled(df: DataFrame, label="label") -> DataFrame:
 
 def unlabelled(df: DataFrame, label="label") -> DataFrame:
     return df.filter(F.col(label).isNull())
-
-
-__all__ = [
-    "align", "clean_events", "in_label_window", "label_buyers", "labelled", "month_window",
-    "stack_splits", "unlabelled", "upto",
-]
