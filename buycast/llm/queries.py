@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from buycast.llm import mixing, quality
+from buycast.llm import mixing, near_dedup, quality
 from buycast.llm.common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -63,3 +63,8 @@ def op7_mixed_sources(spark, sf):
 @query()
 def op10_importance_resampling(spark, sf):
     return quality.importance(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")).drop("row")
+
+
+@query()
+def op4_simhash_components(spark, sf):
+    return near_dedup.near_duplicates(documents(spark, sf))
