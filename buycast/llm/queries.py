@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from buycast.llm import mixing, near_dedup, quality
+from buycast.llm import mixing, near_dedup, quality, token_codes
 from buycast.llm.common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -68,3 +68,14 @@ def op10_importance_resampling(spark, sf):
 @query()
 def op4_simhash_components(spark, sf):
     return near_dedup.near_duplicates(documents(spark, sf))
+
+
+def tokenizer_path():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query()
+def op1_token_codes(spark, sf):
+    return token_codes.read_tokens(token_codes.write_tokens(documents(spark, sf), tokenizer_path()))
