@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from buycast.llm import mixing, near_dedup, quality, token_codes
+from buycast.llm import decontaminate, mixing, near_dedup, quality, token_codes
 from buycast.llm.common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -79,3 +79,8 @@ def tokenizer_path():
 @query()
 def op1_token_codes(spark, sf):
     return token_codes.read_tokens(token_codes.write_tokens(documents(spark, sf), tokenizer_path()))
+
+
+@query()
+def op3_benchmark_windows(spark, sf):
+    return decontaminate.contaminations(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
