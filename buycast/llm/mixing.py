@@ -35,13 +35,11 @@ def targets(sizes, weights=WEIGHTS, share=1.0, max_epochs=3):
         .withColumn("level",
                     (F.col("wanted") - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
                     / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))))
-        .withColumn("water", F.min(F.when(F.col("ratio") >= F.col("level"), F.col("level"))).over(everything))
+        # the level rises while capped sources are passed, and falls after them
+        .withColumn("water", F.max("level").over(everything))
     )
     return levels.select(
-        "source", "source_size",
-        F.when(F.col("water").isNull(), F.col("cap"))
-        .otherwise(F.least("cap", F.col("water") * F.col("weight"))).alias("target"),
-    )
+        "source", "source_size", F.least("cap", F.col("water") * F.col("weight")).alias("target"))
 
 
 def _key(seed):

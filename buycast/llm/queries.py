@@ -38,8 +38,7 @@ def mix_sql(table="documents"):
     FROM ranked
     WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
   goals AS (
-    SELECT source, source_size, least(cap, weight * coalesce(
-        (SELECT min(level) FROM levels WHERE cap / weight >= level), cap / weight)) AS target
+    SELECT source, source_size, least(cap, weight * max(level) OVER ()) AS target
     FROM levels),
   placed AS (
     SELECT s.*, source_size, target, floor(target / nullif(source_size, 0)) AS whole,
