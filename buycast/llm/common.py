@@ -47,12 +47,13 @@ def mix64(x):
     return x ^ (x >> np.uint64(31))
 
 
-def blocks(texts, limit=BLOCK_CHARS):
-    """Slices of ``texts`` with about ``limit`` characters each; a longer text is a block of its own."""
+def blocks(texts, limit=BLOCK_CHARS, most=1 << 20):
+    """Slices of ``texts`` with about ``limit`` characters and at most ``most`` texts each; a longer text is a
+    block of its own."""
     start, size = 0, 0
     for i, text in enumerate(texts):
         n = len(text) if text else 0
-        if i > start and size + n > limit:
+        if i > start and (size + n > limit or i - start >= most):
             yield slice(start, i)
             start, size = i, 0
         size += n

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from buycast.llm import decontaminate, mixing, near_dedup, quality, token_codes
-from buycast.llm.common import documents
+from buycast.llm import decontaminate, language, mixing, near_dedup, quality, token_codes, token_counts
+from buycast.llm.common import documents, remainder
 
 QUERIES, ORACLES = {}, {}
 
@@ -83,3 +83,20 @@ def op1_token_codes(spark, sf):
 @query()
 def op3_benchmark_windows(spark, sf):
     return decontaminate.contaminations(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+@query()
+def op2_longest_match_counts(spark, sf):
+    import public_tokenizers
+
+    return token_counts.token_counts(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query()
+def op5_hypervector_languages(spark, sf):
+    docs = documents(spark, sf)
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    learned = language.profiles(docs.filter(~held_out))
+    named = language.identifier(learned)
+    return docs.select("doc_id", held_out.alias("held_out"), named("text").alias("found")).select(
+        "doc_id", "held_out", "found.lang_pred", "found.score")
