@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from buycast.llm import decontaminate, language, mixing, near_dedup, quality, token_codes, token_counts
+from buycast.llm import decontaminate, language, mixing, near_dedup, outliers, quality, token_codes, token_counts
 from buycast.llm.common import documents, remainder
 
 QUERIES, ORACLES = {}, {}
@@ -100,3 +100,8 @@ def op5_hypervector_languages(spark, sf):
     named = language.identifier(learned)
     return docs.select("doc_id", held_out.alias("held_out"), named("text").alias("found")).select(
         "doc_id", "held_out", "found.lang_pred", "found.score")
+
+
+@query()
+def op6_robust_outliers(spark, sf):
+    return outliers.judged(documents(spark, sf))
