@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from buycast.llm import decontaminate, language, mixing, near_dedup, ngram_lm, outliers, quality, token_codes, token_counts
+from buycast.llm import decontaminate, language, mixing, near_dedup, ngram_lm, outliers, quality, suffix_dedup, token_codes, token_counts
 from buycast.llm.common import documents, remainder
 
 QUERIES, ORACLES = {}, {}
@@ -112,3 +112,8 @@ def op8_trie_scores(spark, sf):
     docs = documents(spark, sf)
     scored = ngram_lm.score(docs, remainder(F.col("doc_id"), 7) != 2)
     return scored.withColumn("held_out", ~F.col("train")).drop("train")
+
+
+@query()
+def op9_merged_transforms(spark, sf):
+    return suffix_dedup.without_repeats(documents(spark, sf))
