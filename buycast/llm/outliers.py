@@ -60,10 +60,14 @@ def _stats(texts):
     return pd.DataFrame(rows, columns=list(STATS), dtype="int64")
 
 
-@F.pandas_udf(", ".join(f"{c} long" for c in STATS))
-def text_stats(texts: pd.Series) -> pd.DataFrame:
-    """Words, code points in words, symbols, repeated lines and words in repeated three-word windows."""
-    return _stats(texts.tolist())
+def text_stats():
+    """Column function: words, code points in words, symbols, repeated lines, words in repeated three-word windows."""
+
+    @F.pandas_udf(", ".join(f"{c} long" for c in STATS))
+    def stats(texts: pd.Series) -> pd.DataFrame:
+        return _stats(texts.tolist())
+
+    return stats
 
 
 def chi_square(p, q):
@@ -193,7 +197,7 @@ def judged(docs, least_words=50, most_repeated=50, cut=1 - 1e-6, smallest=100, *
     of fewer than ``smallest`` such texts reject nothing. Null text has no words. Null languages and
     sources are groups like others; doc_id may be null or repeated; other columns are not read.
     """
-    counted = stored(docs.select("doc_id", "lang", "source", text_stats("text").alias("s")).select(
+    counted = stored(docs.select("doc_id", "lang", "source", text_stats()("text").alias("s")).select(
         "doc_id", "lang", "source", "s.*"))
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     good = stored(grouped(counted.filter(~failed).withColumn("x", F.array(*measures())), smallest))
