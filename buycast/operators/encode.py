@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from buycast.runtime import global_index, small_side
+from buycast.runtime import global_index
 
 
 def _codes(values: DataFrame, start) -> DataFrame:
@@ -21,7 +21,7 @@ def dense_ids(df: DataFrame, col: str, start=1) -> DataFrame:
 
 
 def _lookup(df, codes, col, key, value):
-    side = small_side(codes.select(F.col(key).alias(col), F.col(value).alias("_code")))
+    side = codes.select(F.col(key).alias(col), F.col(value).alias("_code"))
     return df.join(side, col, "left")
 
 
@@ -48,7 +48,7 @@ def decode(df: DataFrame, codes: DataFrame, idx_col: str, out="value") -> DataFr
 
 def known_only(df: DataFrame, codes: DataFrame, col: str, out: str) -> DataFrame:
     """Rows whose value is in the dictionary, with its code; repeated rows stay."""
-    side = small_side(codes.select(F.col("value").alias(col), F.col("idx").alias(out)))
+    side = codes.select(F.col("value").alias(col), F.col("idx").alias(out))
     return df.join(side, col)
 
 

@@ -59,13 +59,15 @@ def unique_counts(df: DataFrame, columns=None, approximate=False) -> DataFrame:
     """(column, n_unique). The exact count shuffles each distinct value once; the other keeps sketches.
 
     Exact: a line becomes one short (column, value as text) row per column, and repeated pairs are
-    dropped before the shuffle.
+    dropped before the shuffle. 0.0 and -0.0 are one value; NaN counts as missing.
     """
     columns = columns or df.columns
     if approximate:
         row = df.agg(*[F.approx_count_distinct(F.col(c)).alias(f"c_{c}") for c in columns])
         return _long(row, columns, {"n_unique": lambda n: F.col(f"c_{n}")})
-    entries = ", ".join(f"named_struct('i', {i}, 'v', cast(`{c}` as string))" for i, c in enumerate(columns))
+    real = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    text = {c: f"cast(nanvl(`{c}`, null) + 0.0D as string)" if c in real else f"cast(`{c}` as string)" for c in columns}
+    entries = ", ".join(f"named_struct('i', {i}, 'v', {text[c]})" for i, c in enumerate(columns))
     seen = df.select(F.expr(f"inline(array({entries}))")).groupBy("i", "v").agg(F.lit(1).alias("one"))
     names = F.array(*[F.lit(c) for c in columns])
     counted = seen.groupBy("i").agg(F.count("v").alias("n_unique"))
@@ -139,6 +141,10 @@ def value_share(df: DataFrame, col: str, top=None) -> DataFrame:
     return out if top is None else out.limit(top)
 
 
+#: Widths of the kernel within which it is above double precision.
+REACH = 9.0
+
+
 def _range_of(df, col):
     """Scalar struct (lo, hi) of a double column, widened by a half on each side if all values agree."""
     lo, hi = F.min(col), F.max(col)
@@ -180,8 +186,9 @@ def histogram(df: DataFrame, col: str, bins=50) -> DataFrame:
 def density(df: DataFrame, col: str, points=200) -> DataFrame:
     """(point, x, density): Gaussian kernel estimate from min to max, width std · n^(-1/5).
 
-    Values are counted first; each distinct value then adds to every grid point, and the sums are
-    reduced to ``points`` rows before the shuffle.
+    Values are counted first; each distinct value then adds to the grid points that lie within ``REACH``
+    widths, beyond which the kernel is below double precision. The sums are reduced to ``points`` rows
+    before the shuffle. Where all values agree, or there is only one, the density is null.
     """
     values = _finite_values(df, col)
     weighted = values.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
@@ -190,12 +197,18 @@ def density(df: DataFrame, col: str, points=200) -> DataFrame:
         (F.stddev_samp("x") * F.pow(F.count("x").cast("double"), F.lit(-0.2))).alias("h"),
     )).scalar()
     at = F.col("s.lo") + (F.col("s.hi") - F.col("s.lo")) * F.col("point") / (points - 1)
-    z = (at - F.col("x")) / F.col("s.h")
-    spread = weighted.withColumn("s", shape).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    sums = spread.groupBy("point").agg(
-        F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("mass"), F.first("s").alias("s"))
-    scale = F.col("s.n") * F.col("s.h") * math.sqrt(2 * math.pi)
-    return sums.select("point", at.alias("x"), (F.col("mass") / scale).alias("density")).orderBy("point")
+    z = F.try_divide(at - F.col("x"), F.col("s.h"))
+    step = F.try_divide(F.lit(float(points - 1)), F.col("s.hi") - F.col("s.lo"))
+    first, last = ((F.col("x") - F.col("s.lo") + side * REACH * F.col("s.h")) * step for side in (-1, 1))
+    near = F.sequence(F.greatest(F.ceil(first), F.lit(0)).cast("int"), F.least(F.floor(last), F.lit(points - 1)).cast("int"))
+    # narrower than the grid, a value may reach no point at all
+    near = F.when(F.greatest(F.ceil(first), F.lit(0)) <= F.least(F.floor(last), F.lit(points - 1)), near)
+    sums = weighted.withColumn("s", shape).withColumn("point", F.explode(near)).groupBy("point").agg(
+        F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("mass"))
+    grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("point")).withColumn("s", shape)
+    scale = F.when(F.col("s.h") > 0, F.col("s.n") * F.col("s.h") * math.sqrt(2 * math.pi))
+    return grid.join(sums, "point", "left").select(
+        "point", at.alias("x"), F.try_divide(F.coalesce("mass", F.lit(0.0)), scale).alias("density")).orderBy("point")
 
 
 def orders_per_customer(df: DataFrame) -> DataFrame:

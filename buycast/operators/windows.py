@@ -29,16 +29,14 @@ def daily(df: DataFrame, floor=FLOOR) -> DataFrame:
 
 
 def pivot_daily(daily_rows: DataFrame, start, end, value="payment") -> DataFrame:
-    """The matrix as a view for a bounded list of days: one column per day, 0 where nothing was bought."""
+    """The matrix as a view for a bounded list of days: one column per day, 0 where nothing was bought.
+
+    Every customer with a row on any day has one here, also if it lies outside the days listed.
+    """
     start, end = as_date(start), as_date(end)
-    names = [(start + dt.timedelta(days=i)).isoformat() for i in range((end - start).days + 1)]
-    kept = daily_rows.filter(F.col("day").between(F.lit(start), F.lit(end)))
-    return (
-        kept.groupBy("customer_id")
-        .pivot("day", [as_date(n) for n in names]).agg(F.sum(value))
-        .fillna(0)
-        .toDF("customer_id", *names)
-    )
+    listed = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
+    return daily_rows.groupBy("customer_id").agg(*[
+        F.coalesce(F.sum(F.when(F.col("day") == F.lit(d), F.col(value))), F.lit(0.0)).alias(d.isoformat()) for d in listed])
 
 
 def calendar(spark, start, end) -> DataFrame:

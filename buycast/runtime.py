@@ -93,34 +93,10 @@ def running_totals(df: DataFrame, order_col: str, sums, groups=()) -> DataFrame:
     return out.drop("_part", *[f"_{s}_offset" for s in sums])
 
 
-HOT_ROWS = 1_000_000
-
-
-def top_k_per_key(df: DataFrame, keys, order, k: int, hot_rows: int = HOT_ROWS, salts: int = 64) -> DataFrame:
+def top_k_per_key(df: DataFrame, keys, order, k: int) -> DataFrame:
     """The first ``k`` rows of each key in the order of ``order``.
 
     The row_number limit also runs before the shuffle, so a map task sends at most k rows per key.
-    If some key has more than ``hot_rows`` rows (a count that shuffles one short row per key and
-    task), a first round limits within (key, salt), which spreads such a key over ``salts`` tasks;
-    the second round then sees at most k · salts rows of it. Both ways give the same rows.
-    """
-    keys = list(keys)
-    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest > hot_rows:
-        df = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)))
-        first = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        df = df.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= k).drop("_rank", "_salt")
-    final = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(final)).filter(F.col("_rank") <= k).drop("_rank")
-
-
-BROADCAST_ROWS = 1_000_000
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else unmarked.
-
-    Unmarked, the join shuffles and run-time skew handling splits hot keys. ``df`` should be cheap to
-    count: a table on disk or one behind ``cut``.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    ranked = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") <= k).drop("_rank")

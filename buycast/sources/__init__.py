@@ -1,5 +1,5 @@
 from buycast.sources.files import (
-    load_model, read_codes, read_customers, read_features, read_logs, read_order_detail, save_model,
+    load_model, read_codes, read_customers, read_features, read_logs, read_order_detail, rejected_lines, save_model,
     write_candidates, write_codes, write_csv, write_features,
 )
 from buycast.sources.star import events_as_orders, order_detail

@@ -1,5 +1,7 @@
 """Queries on sources, labels, static and window features, splits and encoding."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from buycast.operators.clean import clean_events, label_buyers, labelled, stack_splits, unlabelled, upto
@@ -9,11 +11,11 @@ from buycast.operators.static import agg_features
 from buycast.operators.windows import daily, pivot_daily, window_features
 from buycast.plans.features import build_splits, feature_set, single_cutoff_tables, slot_tables
 from buycast.sources import (
-    events_as_orders, read_codes, read_customers, read_features, read_order_detail, write_codes, write_csv,
+    events_as_orders, read_codes, read_customers, read_features, read_order_detail, rejected_lines, write_codes, write_csv,
     write_features,
 )
 from contract.common import (
-    FLOOR, KEY, ORIGIN, SCORING, SPLITS, TRAIN, VALIDATION, WEEKLY, cuts_sql, lines, plain, query, r, scratch, with_od,
+    FLOOR, KEY, ORIGIN, SCORING, SPLITS, TEST, TRAIN, VALIDATION, WEEKLY, cuts_sql, lines, plain, query, r, scratch, with_od,
 )
 from contract.sql_features import (
     as_select, daily_cte, feature_sql_ctes, names, places, static_items, window_items,
@@ -48,6 +50,48 @@ def order_lines_from_csv(spark, sf):
     return plain(read_order_detail(spark, path, strict_times=True))
 
 
+# Some values go wrong on their way into the file, told by the order's number.
+_SPOILT = """
+spoilt AS (SELECT order_id, goods_id,
+  CASE WHEN order_id % 50 = 0 THEN 'x' ELSE '' END || customer_id AS customer_id,
+  order_count || CASE WHEN order_id % 70 = 0 THEN '.7' WHEN order_id % 3 = 0 THEN '.0' ELSE '' END AS order_count,
+  CASE WHEN order_id % 40 = 0 THEN 'no time' ELSE strftime(order_pay_time, '%Y-%m-%d %H:%M:%S') END AS order_pay_time
+  FROM od)"""
+
+
+def _spoilt_csv(spark, sf, numbers):
+    at = lambda n: F.col("order_id") % n == 0
+    rows = lines(spark, sf, "order_id", "goods_id", "customer_id", "order_count", "order_pay_time").select(
+        "order_id", "goods_id",
+        F.concat(F.when(at(50) & F.lit(numbers), "x").otherwise(""), F.col("customer_id").cast("string")).alias("customer_id"),
+        F.concat(F.col("order_count").cast("string"),
+                 F.when(at(70) & F.lit(numbers), ".7").when(at(3), ".0").otherwise("")).alias("order_count"),
+        F.when(at(40), "no time").otherwise(F.date_format("order_pay_time", "yyyy-MM-dd HH:mm:ss")).alias("order_pay_time"))
+    path = scratch(spark, "spoilt")
+    write_csv(rows, path)
+    return path
+
+
+@query(with_od("SELECT order_id, goods_id, customer_id, order_count, concat_ws(',', "
+               "CASE WHEN order_count LIKE '%.7' THEN 'order_count' END, CASE WHEN customer_id LIKE 'x%' THEN 'customer_id' END"
+               ") AS bad_columns FROM spoilt WHERE customer_id LIKE 'x%' OR order_count LIKE '%.7'", _SPOILT))
+def rejected_csv_lines(spark, sf):
+    """Lines whose numbers do not parse are listed with the columns at fault."""
+    bad = rejected_lines(spark, _spoilt_csv(spark, sf, True))
+    return bad.select(F.col("order_id").cast("bigint").alias("order_id"), F.col("goods_id").cast("bigint").alias("goods_id"),
+                      "customer_id", "order_count", "bad_columns")
+
+
+@query(with_od("SELECT order_id, goods_id, CAST(customer_id AS BIGINT) AS customer_id, CAST(order_count AS BIGINT) AS order_count, "
+               "CASE WHEN order_pay_time <> 'no time' THEN order_pay_time END AS order_pay_time "
+               "FROM (SELECT * REPLACE (ltrim(customer_id, 'x') AS customer_id, split_part(order_count, '.', 1) AS order_count) "
+               "FROM spoilt)", _SPOILT))
+def csv_lines_with_lenient_times(spark, sf):
+    """Unreadable times become null, whole numbers written as 3.0 are read as 3."""
+    back = read_order_detail(spark, _spoilt_csv(spark, sf, False))
+    return plain(back.select("order_id", "goods_id", "customer_id", "order_count", "order_pay_time"))
+
+
 @query("SELECT c_custkey AS customer_id, CAST(0 AS BIGINT) AS result FROM customer")
 def customers_from_csv(spark, sf):
     path = scratch(spark, "customers")
@@ -95,20 +139,44 @@ def cleaned_lines(spark, sf):
     return plain(clean_events(lines(spark, sf, *cols)).drop("order_pay_time"))
 
 
+@query(with_od("""SELECT CAST(order_id AS BIGINT) AS order_id, customer_id, goods_id, goods_class_id,
+  strftime(order_pay_time, '%Y-%m') AS month FROM od
+  WHERE order_id % 13 <> 0 AND order_id % 17 <> 0 AND order_id % 19 <> 0 AND order_id % 23 <> 0"""))
+def cleaned_lines_with_gaps(spark, sf):
+    """The same where one of the keys or the time is missing in some orders: those lines go."""
+    rows = lines(spark, sf, "order_id", "customer_id", "goods_id", "goods_class_id", "order_pay_time")
+    lost = {"customer_id": 13, "goods_id": 17, "goods_class_id": 19, "order_pay_time": 23}
+    rows = rows.withColumns({c: F.when(F.col("order_id") % n != 0, F.col(c)) for c, n in lost.items()})
+    return plain(clean_events(rows).drop("order_pay_time"))
+
+
 @query(with_od(f"SELECT customer_id, strftime(day, '%Y-%m-%d') AS day, {r('payment')} AS payment, {r('goods')} AS goods "
                "FROM daily", daily_cte()))
 def daily_sums(spark, sf):
     return plain(daily(lines(spark, sf, *DAILY_COLUMNS), FLOOR))
 
 
-_PIVOT_DAYS = [f"2001-05-{d:02d}" for d in range(18, 32)]
+def _matrix_sql(value):
+    """Every customer of the daily sums, every day from the floor to the last cut-off."""
+    days = [d for d in _days(FLOOR, TEST)]
+    cells = ", ".join(f"{r(f'''max(CASE WHEN c.day = DATE '{d}' THEN {value} ELSE 0 END)''')} AS \"{d}\"" for d in days)
+    return with_od(f"SELECT p.customer_id, {cells} FROM (SELECT DISTINCT customer_id FROM daily) p "
+                   "JOIN daily c ON c.customer_id = p.customer_id GROUP BY p.customer_id", daily_cte())
+
+
+def _days(start, end):
+    first, last = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
+    return [(first + dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
 
 
-@query(with_od("SELECT customer_id, " + ", ".join(
-    f"{r(f'''coalesce(sum(payment) FILTER (WHERE day = DATE '{d}'), 0)''')} AS \"{d}\"" for d in _PIVOT_DAYS)
-    + " FROM daily WHERE day BETWEEN DATE '2001-05-18' AND DATE '2001-05-31' GROUP BY customer_id", daily_cte()))
+@query(_matrix_sql("payment"))
 def daily_matrix(spark, sf):
-    return plain(pivot_daily(daily(lines(spark, sf, *DAILY_COLUMNS), FLOOR), _PIVOT_DAYS[0], _PIVOT_DAYS[-1]))
+    return plain(pivot_daily(daily(lines(spark, sf, *DAILY_COLUMNS), FLOOR), FLOOR, TEST))
+
+
+@query(_matrix_sql("goods"))
+def daily_goods_matrix(spark, sf):
+    return plain(pivot_daily(daily(lines(spark, sf, *DAILY_COLUMNS), FLOOR), FLOOR, TEST, value="goods"))
 
 
 _STATIC_AT_TRAIN = (

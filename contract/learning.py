@@ -1,5 +1,10 @@
-"""Queries that train and score models. Their results have no SQL counterpart, so rows are what is checked here;
-tests check ranking quality on data with a known signal."""
+"""Queries that train and score models.
+
+What a model learns from real labels has no SQL counterpart, so those queries are checked by rows, and by
+tests on data with a known signal. Where SQL knows what a model must arrive at, it is checked: a label
+that follows from a feature is predicted for every customer, and a regression at its optimum balances
+the labels and the probabilities.
+"""
 
 from pyspark.sql import functions as F
 
@@ -11,7 +16,10 @@ from buycast.plans import recommend as R
 from buycast.plans.features import build_splits, feature_columns
 from buycast.runtime import stored
 from buycast.sources import load_model, save_model
-from contract.common import FLOOR, KEY, ORIGIN, PREDICT_MONTH, SPLITS, TEST_MONTH, TOP_N, TRAIN_MONTH, lines, query, scratch
+from contract.common import (
+    FLOOR, KEY, ORIGIN, PREDICT_MONTH, SPLITS, TEST_MONTH, TOP_N, TRAIN_MONTH, cuts_sql, lines, plain, query, scratch, with_od,
+)
+from contract.sql_features import feature_sql_ctes
 from contract.scoring import DAILY_COLUMNS, EVENT_COLUMNS
 
 SMALL = {"xgb": {"maxIter": 10}, "lgb": {"maxIter": 10}, "mlp": {"maxIter": 30}, "reg": {"maxIter": 100},
@@ -103,3 +111,88 @@ def buyers_by_recommender(spark, sf):
     """Best good of the whole catalog for every listed customer, as a buyer list."""
     listed = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("customer_id"))
     return R.recommend_buyers(lines(spark, sf, *EVENT_COLUMNS), listed, TRAIN_MONTH, PREDICT_MONTH, KEY, SMALL["fm"])
+
+
+# A label that follows from the first of these features: did the customer pay for anything in the last 91 days?
+_GIVEN = ["payment_sales_days_in_last_91d", "goods_mean_21d_prev_week", "payment_sum_month_3_before"]
+_PAID = "payment_sales_days_in_last_91d > 0"
+_TIME_SQL = (cuts_sql(SPLITS), *feature_sql_ctes("time"))
+
+
+def _with_known_label(table):
+    return table.select("customer_id", *[F.greatest(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in _GIVEN]).withColumn(
+        "label", (F.col(_GIVEN[0]) > 0).cast("int"))
+
+
+def _known_label_predicted(spark, sf, name):
+    """The class that a stored and reloaded model gives each customer of every split, trained on the first."""
+    splits = {k: _with_known_label(t) for k, t in _splits(spark, sf).items()}
+    path = scratch(spark, f"known-{name}")
+    save_model(L.fit(name, splits["train"], _GIVEN), path)
+    model, out = load_model(path), None
+    for split, table in splits.items():
+        one = L.score(model, table).select(
+            F.lit(split).alias("split"), "customer_id", (F.col("score") > 0.5).cast("long").alias("predicted"))
+        out = one if out is None else out.unionByName(one)
+    return plain(out)
+
+
+_KNOWN = with_od(f"SELECT split, customer_id, CAST({_PAID} AS BIGINT) AS predicted FROM features", *_TIME_SQL)
+
+
+@query(_KNOWN)
+def known_label_by_boosted_trees(spark, sf):
+    return _known_label_predicted(spark, sf, "xgb")
+
+
+@query(_KNOWN)
+def known_label_by_finer_boosted_trees(spark, sf):
+    return _known_label_predicted(spark, sf, "lgb")
+
+
+@query(_KNOWN)
+def known_label_by_perceptron(spark, sf):
+    return _known_label_predicted(spark, sf, "mlp")
+
+
+@query(with_od(f"""SELECT split, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE {_PAID}) AS BIGINT) AS buyers,
+  1.0::DOUBLE AS auc, 1.0::DOUBLE AS f1 FROM features GROUP BY split""", *_TIME_SQL))
+def metrics_on_known_label(spark, sf):
+    """The model's metrics on every split, with the split's size and buyers."""
+    splits, out = {k: _with_known_label(t) for k, t in _splits(spark, sf).items()}, None
+    model = L.fit("xgb", splits["train"], _GIVEN)
+    for split, table in splits.items():
+        size = table.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("buyers"))
+        one = L.evaluate(model, table).select("auc", "f1").join(size).withColumn("split", F.lit(split))
+        out = one if out is None else out.unionByName(one)
+    return plain(out)
+
+
+@query(with_od(f"""SELECT CAST(1 AS BIGINT) AS place, arg_max(name, agrees) AS feature, CAST(max(agrees) AS BIGINT) AS agrees FROM (
+  {" UNION ALL ".join(f"SELECT '{c}' AS name, count(*) FILTER (WHERE ({c} > 0) = ({_PAID})) AS agrees FROM features WHERE split = 'train'" for c in _GIVEN)})
+""", *_TIME_SQL))
+def first_importance_on_known_label(spark, sf):
+    """The most important feature is the one that agrees with the label in most rows."""
+    train = _with_known_label(_splits(spark, sf)["train"])
+    model = L.fit("xgb", train, _GIVEN)
+    top = L.importances(model, _GIVEN, spark, top=1).select("feature")
+    agrees = train.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("name"), ((F.col(c) > 0).cast("int") == F.col("label")).cast("long").alias("same")) for c in _GIVEN])))
+    agrees = agrees.groupBy("name").agg(F.sum("same").alias("agrees"))
+    return plain(top.join(agrees, F.col("feature") == F.col("name")).select(F.lit(1).alias("place"), "feature", "agrees"))
+
+
+_BALANCED = ["payment_sales_days_in_last_91d", "goods_purchase_days_in_last_21d"]
+
+
+@query(with_od("SELECT count(*) AS n, round(avg(label) + 1e-7, 3) AS mean_label, " + ", ".join(
+    f"round(avg(label * greatest({c}, 0)) + 1e-7, 3) AS balance_{c}" for c in _BALANCED)
+    + " FROM features WHERE split = 'train'", *_TIME_SQL))
+def balance_of_logistic_regression(spark, sf):
+    """At the optimum, probabilities and labels have the same mean and the same mean product with every feature."""
+    train = _splits(spark, sf)["train"].select("customer_id", "label", *[
+        F.greatest(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in _BALANCED])
+    scored = L.score(L.fit("reg", train, _BALANCED), train, ("customer_id", *_BALANCED))
+    near = lambda c: F.round(c + 1e-7, 3)
+    return scored.agg(F.count(F.lit(1)).alias("n"), near(F.avg("score")).alias("mean_label"), *[
+        near(F.avg(F.col("score") * F.col(c))).alias(f"balance_{c}") for c in _BALANCED])

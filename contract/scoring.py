@@ -13,7 +13,7 @@ from buycast.operators.submit import fill_template, flag_top_n, predicted_buyers
 from buycast.plans.features import feature_set
 from buycast.plans.models import standardize
 from buycast.runtime import stored
-from buycast.sources import write_candidates
+from buycast.sources import read_customers, write_candidates, write_csv
 from contract.common import (
     FLOOR, KEY, ORIGIN, PREDICT_MONTH, SPLITS, TEST_MONTH, TOP_N, TRAIN_MONTH, cuts_sql, lines, plain, query, r, scratch, with_od,
 )
@@ -113,9 +113,10 @@ def sequence_samples_test(spark, sf):
 _CHUNK = 100
 
 
-@query(with_od(f"""SELECT CAST((s.customer_idx - 1) // {_CHUNK} AS BIGINT) AS chunk, CAST(count(*) AS BIGINT) AS n,
-    CAST(count(DISTINCT s.customer_idx) AS BIGINT) AS customers, CAST(sum(goods_idx) AS BIGINT) AS goods_total
-  FROM (SELECT customer_idx, goods_idx FROM targets UNION ALL SELECT customer_idx, goods_idx FROM neg) s GROUP BY 1""",
+@query(with_od(f"""SELECT CAST((place - 1) // {_CHUNK} AS BIGINT) AS chunk, customer_idx AS customer_id,
+    goods_idx AS candidate_good
+  FROM (SELECT *, dense_rank() OVER (ORDER BY customer_idx) AS place FROM (
+    SELECT customer_idx, goods_idx FROM targets UNION ALL SELECT customer_idx, goods_idx FROM neg) s)""",
                IDS, _negative_ctes(TEST_MONTH)))
 def chunked_samples(spark, sf):
     """Samples written in chunks of customers and read back."""
@@ -123,9 +124,7 @@ def chunked_samples(spark, sf):
     events, _ = _events(spark, sf)
     write_candidates(sequence_samples(events, TEST_MONTH, KEY), path, customers_per_chunk=_CHUNK)
     stored = spark.read.parquet(path)
-    return plain(stored.groupBy("chunk").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("customer_id").alias("customers"),
-        F.sum("candidate_good").alias("goods_total")))
+    return plain(stored.select("chunk", "customer_id", "candidate_good"))
 
 
 # Candidates are customers × goods rows. The checks reduce them where they appear, over all of them.
@@ -206,13 +205,17 @@ def top_buyers(spark, sf):
     return plain(flag_top_n(_scored(spark, sf), n=TOP_N))
 
 
-@query(with_od("""SELECT c_custkey AS customer_id, coalesce(result, 0) AS result FROM
-  (SELECT c_custkey FROM customer UNION ALL SELECT c_custkey FROM customer WHERE c_custkey % 10 = 0)
+@query(with_od("""SELECT c_custkey AS customer_id, coalesce(result, 0) AS result, place FROM
+  (SELECT c_custkey, CAST(row_number() OVER (ORDER BY c_custkey) - 1 AS BIGINT) AS place FROM
+    (SELECT c_custkey FROM customer UNION ALL SELECT c_custkey FROM customer WHERE c_custkey % 10 = 0))
   LEFT JOIN top ON top.customer_id = c_custkey""", _CUTS, _SCORED, _TOP))
 def filled_template(spark, sf):
-    """All customers, one in ten listed twice, with 0 for those without a score."""
+    """All customers, one in ten listed twice, in a file of several parts; 0 for those without a score, in file order."""
     listed = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("customer_id"))
-    template = listed.unionByName(listed.filter(F.col("customer_id") % 10 == 0))
+    path = scratch(spark, "template")
+    write_csv(listed.unionByName(listed.filter(F.col("customer_id") % 10 == 0)).repartitionByRange(4, "customer_id")
+              .sortWithinPartitions("customer_id"), path)
+    template = read_customers(spark, path, numbered=True)
     return plain(fill_template(template, flag_top_n(_scored(spark, sf), n=TOP_N), keep_order=True))
 
 
