@@ -125,12 +125,12 @@ def _distance(p):
     return sum(F.col("inverse")[i * p + j] * d[i] * d[j] for i in range(p) for j in range(p))
 
 
-def _step(rows, shape, p, floors, inside):
+def _step(rows, shape, p, floors, inside, share):
     """One concentration step: mean and covariance per group of the rows that lie nearest by ``shape``.
 
     Rows fall into classes by distance, about 1 % wide; per group and class there is one row of sums, and
     running sums over the classes give the moments of all rows up to any distance. ``inside`` picks the
-    last class that counts, from columns upto, all and near.
+    last class that counts, from columns upto, all and near; ``share`` is what a normal sample has there.
     """
     pairs = list(itertools.combinations_with_replacement(range(p), 2))
     near = rows.join(shape, "group").withColumn("far", F.greatest(_distance(p), F.lit(0.0)))
@@ -147,6 +147,9 @@ def _step(rows, shape, p, floors, inside):
     chosen = classes.filter(inside).withColumn("rank", F.row_number().over(
         Window.partitionBy("group").orderBy("bin"))).filter("rank = 1")
 
+    # the nearest share of a normal sample has a smaller covariance than the whole by this factor
+    shrunk = chi_square_cdf(p + 2, chi_square(p, share)) / share
+
     def shapes(batches):
         for batch in batches:
             out = []
@@ -156,9 +159,6 @@ def _step(rows, shape, p, floors, inside):
                 second = np.zeros((p, p))
                 for i, j in pairs:
                     second[i, j] = second[j, i] = r[f"s{i}_{j}"] / n
-                share = min(n / r["all"], 1 - 1e-9)
-                # the nearest share of a normal sample has a smaller covariance than the whole by this factor
-                shrunk = chi_square_cdf(p + 2, chi_square(p, share)) / share
                 covariance = (second - np.outer(mean, mean)) / shrunk
                 out.append((r["group"], np.asarray(r["centre"]) + mean, _inverse(covariance, floors)))
             yield pd.DataFrame({"group": [o[0] for o in out], "centre": [o[1].tolist() for o in out],
@@ -182,10 +182,10 @@ def minimum_covariance(rows, p, floors, share=0.75, steps=8):
     schema = "group string, centre array<double>, inverse array<double>"
     shape = stored(_quartiles(rows, p).mapInPandas(start, schema))
     for _ in range(steps):
-        shape = stored(_step(rows, shape, p, floors, F.col("upto") >= F.ceil(share * F.col("all"))))
+        shape = stored(_step(rows, shape, p, floors, F.col("upto") >= F.ceil(share * F.col("all")), share))
     limit = chi_square(p, 0.975)
     inside = (F.col("near") > limit) | (F.col("upto") == F.col("all"))
-    return stored(_step(rows, shape, p, floors, inside))
+    return stored(_step(rows, shape, p, floors, inside, 0.975))
 
 
 def judged(docs, least_words=50, most_repeated=50, cut=1 - 1e-6, smallest=100, **options):
