@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from buycast.runtime import stored
+from buycast.runtime import stored  # noqa: F401  used by the operators
 
 # Fixed value: a word is a run of characters other than the six ASCII white-space characters.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -47,6 +47,15 @@ def mix64(x):
     return x ^ (x >> np.uint64(31))
 
 
+def six_bytes(x):
+    """The low 48 bits of unsigned integers, packed."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).ravel()
+
+
+def from_six_bytes(x):
+    return np.pad(x.reshape(-1, 6), ((0, 0), (0, 2))).view("<u8").ravel()
+
+
 def blocks(texts, limit=BLOCK_CHARS, most=1 << 20):
     """Slices of ``texts`` with about ``limit`` characters and at most ``most`` texts each; a longer text is a
     block of its own."""
@@ -61,6 +70,13 @@ def blocks(texts, limit=BLOCK_CHARS, most=1 << 20):
         yield slice(start, len(texts))
 
 
+def sampled(rows, column, bound):
+    """All rows if there are at most ``bound``, else about that many, picked by the hash of ``column``."""
+    n = rows.count()
+    share = int((1 << 30) * bound / max(n, 1))
+    return rows if n <= bound else rows.filter(F.pmod(F.xxhash64(column), F.lit(1 << 30)) < share)
+
+
 def remainder(doc_id, divisor):
     """crc32 of the id as text, modulo ``divisor``; null ids count as remainder 0."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % divisor, F.lit(0))
@@ -72,7 +88,3 @@ def documents(spark, sf_dir):
 
 def shuffle_partitions(spark):
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-__all__ = ["BLOCK_CHARS", "Hashes", "WORD", "WORD_PATTERN", "blocks", "documents", "mix64", "remainder",
-           "shuffle_partitions", "stored", "words_of"]

@@ -5,10 +5,10 @@ import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
 
-from buycast.llm.common import blocks, stored
+from buycast.llm.common import blocks, mix64, sampled, stored
 from buycast.llm.graph import components
 
-#: Fingerprints that the top of the vantage-point tree is built from, at most; its depth is bounded by them.
+#: Fingerprints that the top of the vantage-point tree is built from, about; its depth is bounded by them.
 SAMPLE = 1 << 16
 #: Fingerprints of a shard to aim at, and below which a shard is compared by brute force.
 SHARD, BRUTE = 4096, 512
@@ -64,7 +64,8 @@ class VantageTree:
         self.reach = reach
         self.point = np.zeros(1 << (depth + 1), dtype=np.uint64)
         self.radius = np.full(1 << (depth + 1), -1, dtype=np.int16)
-        waiting = [(1, sample)]
+        # values in no order, so that the first of a part is an arbitrary one
+        waiting = [(1, sample[np.argsort(mix64(sample), kind="stable")])]
         while waiting:
             node, own = waiting.pop()
             if node >= 1 << depth or len(own) < 2:
@@ -135,13 +136,13 @@ def close_pairs(home, visitors, reach):
 def pairs_within(prints, reach=2, sample=SAMPLE, shard=SHARD):
     """All pairs (u, v) of the distinct longs ``fp`` of ``prints`` that differ in at most ``reach`` bits.
 
-    The tree's top is fitted on at most ``sample`` fingerprints, picked by hash, on the driver; every
+    The tree's top is fitted on about ``sample`` fingerprints at most, picked by hash, on the driver; every
     fingerprint is then routed to its shard and, near the radius, to those beyond it. Shards are
     searched in tasks, by trees of their own.
     """
     n = prints.count()
     depth = max(0, min(int(np.ceil(np.log2(max(n, 1) / shard))), int(np.log2(sample / 8))))
-    chosen = [r.fp for r in prints.orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()] if depth else []
+    chosen = sorted(r.fp for r in sampled(prints, "fp", sample).select("fp").collect()) if depth else []
     tree = VantageTree(np.array(chosen, dtype=np.int64).view(np.uint64), depth, reach)
 
     def route(batches):

@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from buycast.llm.common import Hashes, blocks, mix64, stored
+from buycast.llm.common import Hashes, blocks, mix64, sampled, stored
 
 # Fixed value: a token is a run of word characters or a run of other visible characters.
 TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -95,9 +95,9 @@ class Importance:
 
 
 def targets(labels, bound=50_000):
-    """Ids of documents labelled good and not toxic, at most ``bound``, picked by hash: the target sample."""
+    """Ids of documents labelled good and not toxic, about ``bound`` at most, picked by hash: the target sample."""
     good = labels.filter("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+    return sampled(good, "doc_id", bound)
 
 
 def fit(docs, labels, buckets=BUCKETS, bound=50_000, prior=20.0, noise=8.0):
