@@ -19,14 +19,6 @@ def sigmoid(col: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-col))
 
 
-def decay(base: float, age: Column) -> Column:
-    return F.pow(F.lit(base), age)
-
-
-def at_least(col: Column, threshold: float) -> Column:
-    return (col >= threshold).cast("int")
-
-
 def above(col: Column, threshold: float) -> Column:
     return (col > threshold).cast("int")
 

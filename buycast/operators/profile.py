@@ -115,22 +115,19 @@ def quantile(df: DataFrame, col: str, q: float, method="exact") -> DataFrame:
 def describe_numeric(df: DataFrame, columns=None, method="exact") -> DataFrame:
     """(column, count, mean, std, min, q25, q50, q75, max)."""
     columns = columns or numeric_columns(df)
-    x = F.col("value")
-    basics = [
-        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"), F.max(x).alias("max"),
-    ]
-    per_column = _values(df, columns).groupBy("column")
+    kinds = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    if method == "approx":
+        kinds["q"] = lambda x: F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000)
+    # all columns in one pass and one row; a column without values shows with count 0
+    values = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    row = df.agg(*[make(values[c]).alias(f"{kind}_{c}") for c in columns for kind, make in kinds.items()])
+    rows = _long(row, columns, {kind: (lambda n, kind=kind: F.col(f"{kind}_{n}")) for kind in kinds})
     if method == "approx":
-        rows = per_column.agg(*basics, F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000).alias("q"))
         rows = rows.withColumns({f"q{p}": F.col("q")[i] for i, p in enumerate((25, 50, 75))})
     else:
         quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).toDF("column", "q25", "q50", "q75")
-        rows = per_column.agg(*basics).join(quartiles, "column", "left")
-    # one row per column; a column without values shows with count 0
-    listed = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
-    out = listed.join(rows, "column", "left").withColumn("count", F.coalesce("count", F.lit(0)))
-    return out.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+        rows = rows.join(quartiles, "column", "left")
+    return rows.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def value_share(df: DataFrame, col: str, top=None) -> DataFrame:

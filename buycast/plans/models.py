@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from buycast.operators.metrics import metrics as metric_table
+from buycast.operators.submit import BUY_NUM, flag_top_n
+from buycast.sources import write_csv
 
 SEED = 3407
 
@@ -78,6 +80,26 @@ def score(model: PipelineModel, df: DataFrame, keep=("customer_id",)) -> DataFra
     return scored.select(*keep, vector_to_array("probability")[1].alias("score"))
 
 
+def submit(name: str, splits, features, path: str, n=BUY_NUM + 1, params=None) -> PipelineModel:
+    """The whole job: fit on ``splits["train"]``, score ``splits["test"]``, flag the ``n`` most likely buyers and write
+    them to ``path`` as CSV, sorted by customer. Returns the model."""
+    model = fit(name, splits["train"], features, params)
+    write_csv(flag_top_n(score(model, splits["test"]), n=n), path, index="customer_id")
+    return model
+
+
+def fit_best(name, train_df, eval_df, features=None, steps=(1, 5, 10, 20), params=None, label="label"):
+    """(model, iterations): of models fitted with growing numbers of iterations, the one with the best AUC on
+    ``eval_df``; the earliest of equals."""
+    best = None
+    for n in steps:
+        model = fit(name, train_df, features, {**(params or {}), "maxIter": n}, label)
+        auc = quick_auc(model, eval_df, label)
+        if best is None or auc > best[0]:
+            best = (auc, model, n)
+    return best[1:]
+
+
 def evaluate(model: PipelineModel, df: DataFrame, label="label") -> DataFrame:
     """One row of metrics of the model on a labelled table."""
     return metric_table(score(model, df, (label,)), label, "score")

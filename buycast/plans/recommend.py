@@ -18,7 +18,8 @@ from buycast.operators.submit import fill_template, rollup_candidates
 from buycast.plans.models import fit, score
 from buycast.runtime import stored
 
-GOODS_PER_PASS = 65_536
+#: Goods of a block of the catalog: what a task holds of it at a time.
+GOODS_PER_BLOCK = 16_384
 ROWS_PER_PRODUCT = 128
 
 
@@ -63,21 +64,20 @@ def _sums(index_lists, factors, linear):
 
 
 def best_candidates(model: PipelineModel, customers: DataFrame, goods: DataFrame,
-                    goods_per_pass=GOODS_PER_PASS) -> DataFrame:
+                    goods_per_block=GOODS_PER_BLOCK) -> DataFrame:
     """(customer_id, candidate_good, probability): the best good of the whole catalog for each customer.
 
     ``customers`` holds customer_idx, history_goods and history_classes; ``goods`` holds goods_idx
-    (dense from 1) and class_idx. Equal to scoring all pairs and keeping the maximum, but a batch of
-    customers meets the catalog as a matrix product inside the task, so no pair becomes a row. The
-    catalog is taken in passes of ``goods_per_pass`` goods, which bounds what a task holds for any
-    catalog size; the passes are then reduced to one row per customer.
+    (dense from 1) and class_idx. Equal to scoring all pairs and keeping the maximum, but a block of
+    customers meets a block of the catalog as a matrix product inside a task, so no pair becomes a row
+    and neither side passes the driver. Of each block only a customer's best good goes on.
     """
     spark = customers.sparkSession
     user_tf, item_tf, fm = model.stages[0], model.stages[1], model.stages[3]
     width = user_tf.getNumFeatures()
     factors, linear = fm.factors.toArray(), fm.linear.toArray()
     # size fixed by the model parameters (hash width × factor size), not by the data
-    user_side = spark.sparkContext.broadcast((factors[:width], linear[:width], float(fm.intercept)))
+    table = spark.sparkContext.broadcast((factors, linear, float(fm.intercept)))
 
     listed = customers.select(
         F.col("customer_idx").alias("customer_id"), or_empty("history_goods").alias("history_goods"),
@@ -88,45 +88,37 @@ def best_candidates(model: PipelineModel, customers: DataFrame, goods: DataFrame
         F.col("goods_idx").alias("candidate_good"), F.coalesce("class_idx", F.lit(0)).alias("candidate_class"),
     ))).select("candidate_good", F.unwrap_udt("item_vector")["indices"].alias("indices"))
 
-    last = goods.agg(F.max("goods_idx")).first()[0] or 0
-    if last > goods_per_pass:
-        users = stored(users)
-    parts = None
-    for low in range(1, last + 1, goods_per_pass):
-        some = catalog.filter(F.col("candidate_good").between(low, low + goods_per_pass - 1)).collect()
-        if not some:
-            continue
-        vectors, shares = _sums([r.indices for r in some], factors[width:], linear[width:])
-        ids = np.array([r.candidate_good for r in some])
-        item_side = spark.sparkContext.broadcast((ids, vectors, shares))
-
-        def best(batches, item_side=item_side):
-            table, weights, intercept = user_side.value
-            ids, vectors, shares = item_side.value
-            for batch in batches:
-                if len(batch) == 0:
-                    continue
-                total, own = _sums(list(batch["indices"]), table, weights)
-                pick = np.empty(len(batch), dtype=np.int64)
-                top = np.empty(len(batch))
-                for i in range(0, len(batch), ROWS_PER_PRODUCT):
-                    block = total[i:i + ROWS_PER_PRODUCT] @ vectors.T + shares
-                    pick[i:i + ROWS_PER_PRODUCT] = block.argmax(axis=1)
-                    top[i:i + ROWS_PER_PRODUCT] = block.max(axis=1)
-                yield pd.DataFrame({
-                    "customer_id": batch["customer_id"], "candidate_good": ids[pick],
-                    "probability": 1.0 / (1.0 + np.exp(-(intercept + own + top))),
-                })
-
-        part = users.mapInPandas(best, "customer_id long, candidate_good long, probability double")
-        parts = part if parts is None else parts.unionByName(part)
-    if parts is None:
-        return users.limit(0).select(
-            F.col("customer_id").cast("long"), F.lit(0).cast("long").alias("candidate_good"),
-            F.lit(0.0).alias("probability"))
-    # a customer listed twice, or met in several passes, keeps its best good
+    # a block of the catalog meets the customers in as many tasks as a shuffle has
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = F.sequence(F.lit(0), F.floor((F.lit(goods.agg(F.max("goods_idx")).scalar()) - 1) / goods_per_block).cast("int"))
+    users = users.withColumn("part", F.pmod(F.xxhash64("customer_id"), F.lit(parts)).cast("int")).withColumn(
+        "block", F.explode(blocks))
+    items = catalog.withColumn("block", F.floor((F.col("candidate_good") - 1) / goods_per_block).cast("int")).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+
+    def best(own, offered):
+        if not len(own) or not len(offered):
+            return pd.DataFrame({"customer_id": [], "candidate_good": [], "probability": []})
+        factors, linear, intercept = table.value
+        vectors, shares = _sums(list(offered["indices"]), factors[width:], linear[width:])
+        ids, out = offered["candidate_good"].to_numpy(dtype=np.int64), []
+        for i in range(0, len(own), ROWS_PER_PRODUCT):
+            some = own.iloc[i:i + ROWS_PER_PRODUCT]
+            total, share = _sums(list(some["indices"]), factors[:width], linear[:width])
+            block = total @ vectors.T + shares
+            top = block.max(axis=1)
+            # the least good of equals
+            pick = np.where(block == top[:, None], ids[None, :], np.iinfo(np.int64).max).min(axis=1)
+            out.append(pd.DataFrame({"customer_id": some["customer_id"], "candidate_good": pick,
+                                     "probability": 1.0 / (1.0 + np.exp(-(intercept + share + top)))}))
+        return pd.concat(out)
+
+    keys = ["block", "part"]
+    met = users.groupBy(*keys).cogroup(items.groupBy(*keys)).applyInPandas(
+        best, "customer_id long, candidate_good long, probability double")
+    # a customer listed twice, or met by several blocks, keeps its best good
     best_row = F.max(F.struct("probability", (-F.col("candidate_good")).alias("g")))
-    return parts.groupBy("customer_id").agg(best_row.alias("b")).select(
+    return met.groupBy("customer_id").agg(best_row.alias("b")).select(
         "customer_id", (-F.col("b.g")).alias("candidate_good"), "b.probability")
 
 

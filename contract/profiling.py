@@ -7,7 +7,11 @@ from buycast.operators.windows import calendar
 from buycast.sources import events_as_orders
 from contract.common import lines, plain, query, r, with_od
 
-NUMERIC = ["order_total_num", "order_amount", "order_total_payment", "goods_price", "customer_gender", "member_status"]
+NUMERIC = [
+    "order_id", "order_total_num", "order_amount", "order_total_payment", "order_total_discount", "order_status", "order_count",
+    "is_customer_rate", "order_detail_status", "order_detail_goods_num", "order_detail_amount", "order_detail_payment",
+    "order_detail_discount", "member_id", "customer_id", "customer_gender", "member_status", "is_member_actived", "goods_id",
+    "goods_class_id", "goods_price", "goods_status", "goods_has_discount"]
 ALL = [
     "order_detail_id", "order_id", "order_total_num", "order_amount", "order_total_payment", "order_total_discount",
     "order_pay_time", "order_status", "order_count", "is_customer_rate", "order_detail_status",

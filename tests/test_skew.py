@@ -35,9 +35,9 @@ def test_skewed_tables_match_sql(spark, skewed, name):
     assert differences(spark, con, name, entry_point.queries()[name], entry_point.oracle_sql()[name], skewed) is None
 
 
-def test_salted_histories_equal_plain_ones(spark, skewed):
+def test_histories_of_a_hot_customer_do_not_depend_on_partitions(spark, skewed):
     rows = order_detail(spark, skewed, ["customer_id", "goods_id", "goods_class_id", *ORDER_KEY])
     events, _ = encode_events(rows, ORDER_KEY)
     plain = histories(events, "2001-06", ORDER_KEY).orderBy("customer_idx").collect()
-    salted = histories(events, "2001-06", ORDER_KEY, hot_rows=10).orderBy("customer_idx").collect()
+    salted = histories(events.repartition(7), "2001-06", ORDER_KEY).orderBy("customer_idx").collect()
     assert plain == salted and max(len(r["history_goods"]) for r in plain) == 50
