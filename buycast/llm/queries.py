@@ -80,7 +80,39 @@ def op1_token_codes(spark, sf):
     return token_codes.read_tokens(token_codes.write_tokens(documents(spark, sf), tokenizer_path()))
 
 
-@query()
+# Weighted Jaccard similarity of every window that shares a shingle with an item, by counting shingles.
+WINDOWS_SQL = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(lower(text), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+  item_words AS (
+    SELECT item_id, regexp_extract_all(lower(text), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
+  item_sizes AS (SELECT item_id, w, least(5, len(w)) AS k, len(w) - least(5, len(w)) + 1 AS n FROM item_words WHERE len(w) > 0),
+  item_shingles AS (
+    SELECT item_id, k, n, s, count(*) AS c FROM (
+      SELECT item_id, k, n, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, n + 1)]) AS s
+      FROM item_sizes) GROUP BY ALL),
+  widths AS (SELECT DISTINCT k FROM item_sizes),
+  shingles AS (
+    SELECT doc_id, k, len(w) - k + 1 AS n_doc, i AS place, array_to_string(w[i + 1:i + k], ' ') AS s FROM (
+      SELECT doc_id, w, k, unnest(range(0, len(w) - k + 1)) AS i FROM words, widths WHERE len(w) >= k)),
+  starts AS (
+    SELECT DISTINCT doc_id, item_id, k, n, m, unnest(range(greatest(0, place - m + 1), least(place, n_doc - m) + 1)) AS start FROM (
+      SELECT doc_id, item_id, d.k, n, least(n, n_doc) AS m, n_doc, place
+      FROM shingles d JOIN item_shingles i ON i.k = d.k AND i.s = d.s)),
+  shared AS (
+    SELECT w.doc_id, w.item_id, w.start, w.n, w.m, sum(least(c, own)) AS common FROM (
+      SELECT t.doc_id, t.item_id, t.start, t.n, t.m, t.k, d.s, count(*) AS own
+      FROM starts t JOIN shingles d ON d.doc_id = t.doc_id AND d.k = t.k AND d.place BETWEEN t.start AND t.start + t.m - 1
+      GROUP BY ALL) w JOIN item_shingles i ON i.item_id = w.item_id AND i.s = w.s
+    GROUP BY ALL)
+SELECT doc_id, item_id, max(similarity) AS similarity, CAST(min(start) FILTER (WHERE similarity = best) AS BIGINT) AS first_word,
+  CAST(count(*) AS BIGINT) AS n_windows FROM (
+    SELECT *, max(similarity) OVER (PARTITION BY doc_id, item_id) AS best FROM (
+      SELECT doc_id, item_id, start, CAST(common AS DOUBLE) / CAST(n + m - common AS DOUBLE) AS similarity FROM shared))
+WHERE similarity >= 0.8 GROUP BY doc_id, item_id"""
+
+
+@query(WINDOWS_SQL)
 def op3_benchmark_windows(spark, sf):
     return decontaminate.contaminations(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
 
