@@ -1,19 +1,20 @@
 """Words, hashes and small helpers shared by the text operators."""
 
 import re
+import uuid
 
 import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from buycast.runtime import stored  # noqa: F401  used by the operators
+from buycast.runtime import checkpoint_dir
 
 # Fixed value: a word is a run of characters other than the six ASCII white-space characters.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 WORD = re.compile(WORD_PATTERN)
 
 #: Python texts are handled in blocks of about this many characters, so memory does not depend on the batch.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_500_000
 
 
 def words_of(text):
@@ -24,7 +25,7 @@ def words_of(text):
 class Hashes(dict):
     """64-bit hash per word, remembered up to ``limit`` words."""
 
-    def __init__(self, limit=400_000, seed=0):
+    def __init__(self, limit=150_000, seed=0):
         super().__init__()
         self.limit, self.seed = limit, seed
 
@@ -47,13 +48,13 @@ def mix64(x):
     return x ^ (x >> np.uint64(31))
 
 
-def six_bytes(x):
-    """The low 48 bits of unsigned integers, packed."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).ravel()
+def low_bytes(x, n):
+    """The low ``n`` bytes of unsigned integers, packed."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n]).ravel()
 
 
-def from_six_bytes(x):
-    return np.pad(x.reshape(-1, 6), ((0, 0), (0, 2))).view("<u8").ravel()
+def from_low_bytes(x, n):
+    return np.pad(x.reshape(-1, n), ((0, 0), (0, 8 - n))).view("<u8").ravel()
 
 
 def blocks(texts, limit=BLOCK_CHARS, most=1 << 20):
@@ -82,6 +83,14 @@ def remainder(doc_id, divisor):
     return F.coalesce(F.crc32(doc_id.cast("string")) % divisor, F.lit(0))
 
 
+def stored(df):
+    """Write ``df`` as compact Parquet below the checkpoint folder and read it back."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/text-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def documents(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

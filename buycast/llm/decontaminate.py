@@ -27,7 +27,7 @@ def words_of(text):
 
 class WordHashes(dict):
     def __missing__(self, word):
-        if len(self) >= 400_000:
+        if len(self) >= 150_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word, 3)
         return value
