@@ -7,13 +7,17 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from buycast.llm.common import Hashes, mix64, shuffle_partitions, stored
+from buycast.llm.common import Hashes, from_low_bytes, low_bytes, mix64, shuffle_partitions, stored
 from buycast.llm.elias_fano import Codes, Level, Reader, framed, quantise
 
 #: Pseudo counts of the unigram model behind each context, and the weight of a trigram's count.
 MU, GAMMA = 40.0, 4.0
 #: Tokens that a map task routes at a time.
-BLOCK_TOKENS = 1_500_000
+BLOCK_TOKENS = 1_000_000
+#: Tokens of a trie to aim at; a shard is as many tries as that takes.
+TRIE_TOKENS = 200_000
+#: A token's logarithm is handed back in steps of 1 / STEPS.
+STEPS = 128
 
 # Two hashes that no word has: words hold no white space.
 END, START = xxhash.xxh64_intdigest(b"\n"), xxhash.xxh64_intdigest(b"\n\n")
@@ -108,37 +112,40 @@ def frequent(counts, above):
 
 
 class Slice:
-    """The tokens of a block that one shard predicts, packed: words in runs, contexts by their place in a
-    table of 48-bit hashes, documents by their distance."""
+    """The tokens of a block that one shard predicts, packed: words in runs by 48 bits of their hash, the word
+    before by its place in a table of 48-bit hashes, the one before that by 24 bits, documents by their
+    distance."""
 
     @staticmethod
     def pack(words, one, two, text, train):
         first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
-        table, index = np.unique(np.concatenate([one, two]), return_inverse=True)
+        table, index = np.unique(one, return_inverse=True)
         kind = np.uint16 if len(table) <= 1 << 16 else np.uint32
         index = index.astype(kind)
         step = np.diff(text, prepend=0).astype(np.int32)
         data = b"".join([
-            framed(words[first]), framed(np.diff(np.append(first, len(words))).astype(np.uint32)),
-            framed(table.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].ravel()),
-            np.uint8(kind().itemsize).tobytes(), framed(index[:len(one)]), framed(index[len(one):]),
+            framed(low_bytes(_near(words[first]), 6)), framed(np.diff(np.append(first, len(words))).astype(np.uint32)),
+            framed(low_bytes(table, 6)),
+            np.uint8(kind().itemsize).tobytes(), framed(index),
+            framed(two.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T.ravel()),
             framed(step), framed(np.packbits(train)),
         ])
         return zstandard.compress(data, 1)
 
     def __init__(self, data):
         reader = Reader(zstandard.decompress(data))
-        self.runs, self.lengths = reader.array("<u8"), reader.array(np.uint32)
-        table = reader.array(np.uint8).reshape(-1, 6)
-        self.table = np.pad(table, ((0, 0), (0, 2))).view("<u8").ravel()
+        self.runs, self.lengths = from_low_bytes(reader.array(np.uint8), 6), reader.array(np.uint32)
+        self.table = from_low_bytes(reader.array(np.uint8), 6)
         kind = {2: np.uint16, 4: np.uint32}[reader.number("<B")]
-        self.one, self.two = reader.array(kind), reader.array(kind)
+        self.one = reader.array(kind)
+        two = reader.array(np.uint8).reshape(3, -1).astype(np.int32)
+        self.two = two[0] | two[1] << 8 | two[2] << 16
         self.step = reader.array(np.int32)
         self.train = np.unpackbits(reader.array(np.uint8), count=len(self.one)).astype(bool)
 
 
 def _near(hashes):
-    return hashes & np.uint64((1 << 48) - 1)
+    return hashes >> np.uint64(16)  # the upper bits, so order stays
 
 
 class Head:
@@ -181,7 +188,7 @@ def route(docs, shards, heavy):
             order = np.lexsort((tokens, shard))
             cuts = np.searchsorted(shard[order], np.arange(shards + 1))
             train = rows["train"].to_numpy(dtype=bool)
-            near_one, near_two = _near(one), _near(two)
+            near_one, near_two = _near(one), (mix64(two ^ mix64(one)) >> np.uint64(40)).astype(np.uint32)
             own = [(block % shards, True, Head.pack(rows["doc_id"], train, sizes))]
             for s in range(shards):
                 o = order[cuts[s]:cuts[s + 1]]
@@ -209,8 +216,8 @@ class Trie:
         key, n2 = np.unique(node * len(names) + one, return_counts=True)
         parent, name = key // max(len(names), 1), key % max(len(names), 1)
         second = np.searchsorted(key, node * len(names) + one)
-        key3, n3 = np.unique(second * len(names) + two, return_counts=True)
-        parent3, name3 = key3 // max(len(names), 1), key3 % max(len(names), 1)
+        key3, n3 = np.unique(second << 24 | two, return_counts=True)
+        parent3, name3 = key3 >> 24, key3 & 0xFFFFFF
         context2 = np.log10(gamma * n2 + counts[parent] + mu)
         value2 = np.log10(n2 + behind[parent])
         value3 = np.log10(gamma * n3 + n2[parent3] + behind[parent[parent3]])
@@ -238,46 +245,63 @@ class Trie:
         known = node >= 0
         value, context = np.full(len(node), unknown), np.full(len(node), unknown_context)
         value[known], context[known] = self.value.at(node[known]), self.context.at(node[known])
-        second = self.two.find(np.where(one >= 0, node, -1), one)
+        second = self.two.find(node, one)
         found = np.flatnonzero(second >= 0)
         value[found], context[found] = self.two.columns[0].at(second[found]), self.two.columns[1].at(second[found])
-        third = self.three.find(np.where(two >= 0, second, -1), two)
+        third = self.three.find(second, two)
         found = np.flatnonzero(third >= 0)
         value[found] = self.three.columns[0].at(third[found])
         return value, context
 
 
 def _score_shard(rows, words, counts, model):
-    """Build the shard's trie from its training tokens and look all its tokens up."""
+    """Build the shard's tries from its training tokens and look all its tokens up, a range of words at a time."""
     slices = [Slice(d) for d in rows["data"]]
-    heavy_words = np.array(sorted(model["heavy"]), dtype=np.uint64)
-    own = np.concatenate([words, heavy_words])
-    n = np.concatenate([counts, np.array([model["heavy"][int(w)] for w in heavy_words], dtype=np.int64)])
-    own, first = np.unique(own, return_index=True)
-    n = n[first]
-    names = np.unique(np.concatenate([s.table for s in slices]))
-    run = [Trie.place(own, s.runs) for s in slices]
-    node = [np.repeat(r, s.lengths) for r, s in zip(run, slices)]
-    one = [np.searchsorted(names, s.table)[s.one] for s in slices]
-    two = [np.searchsorted(names, s.table)[s.two] for s in slices]
-    train = np.concatenate([s.train for s in slices])
-    packed = Trie.pack(own, n, names, *(np.concatenate(x)[train] for x in (node, one, two)),
-                       model["mu"], model["gamma"], model["unigram"])
-    trie = Trie(packed)
+    words, first = np.unique(np.concatenate([_near(words), _near(np.array(list(model["heavy"]), dtype=np.uint64))]),
+                             return_index=True)
+    counts = np.concatenate([counts, np.array(list(model["heavy"].values()), dtype=np.int64)])[first]
+    tokens = sum(int(s.lengths.sum()) for s in slices)
+    met = np.sort(np.concatenate([s.runs for s in slices]))
+    cuts = np.unique(met[np.arange(TRIE_TOKENS, tokens, TRIE_TOKENS) * len(met) // tokens])
+    for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), 1 << 48]):
+        a, b = np.searchsorted(words, np.array([low, high], dtype=np.uint64))
+        yield from _score_range(rows["block"].tolist(), slices, low, high, words[a:b], counts[a:b], model)
+
+
+def _score_range(blocks, slices, low, high, words, counts, model):
+    parts = []
+    for block, s in zip(blocks, slices):
+        a, b = np.searchsorted(s.runs, np.array([low, high], dtype=np.uint64))
+        if a < b:
+            ends = np.cumsum(s.lengths, dtype=np.int64)
+            parts.append((block, s, slice(a, b), slice(int(ends[a] - s.lengths[a]), int(ends[b - 1]))))
+    if not parts:
+        return
+    run = [Trie.place(words, s.runs[r]) for _, s, r, _ in parts]
+    node = [np.repeat(x, s.lengths[r]) for x, (_, s, r, _) in zip(run, parts)]
+    used = [np.unique(s.one[t]) for _, s, _, t in parts]
+    names = np.unique(np.concatenate([s.table[u] for u, (_, s, _, _) in zip(used, parts)]))
+    one, two = [], [s.two[t].astype(np.int64) for _, s, _, t in parts]
+    for u, (_, s, _, t) in zip(used, parts):
+        place = np.zeros(len(s.table), dtype=np.int64)
+        place[u] = np.searchsorted(names, s.table[u])
+        one.append(place[s.one[t]])
+    train = np.concatenate([s.train[t] for _, s, _, t in parts])
     lengths = [len(x) for x in node]
-    value, context = trie.look_up(np.concatenate(node), np.concatenate(one), np.concatenate(two),
-                                  np.log10(model["mu"] * model["unigram"]), np.log10(model["mu"]))
-    at, out = 0, []
-    for i, (s, r) in enumerate(zip(slices, run)):
-        v, c = value[at:at + lengths[i]], context[at:at + lengths[i]]
-        at += lengths[i]
-        c = np.where(np.repeat(s.runs, s.lengths) == END, 0.0, c)  # nothing follows the end
-        seen = np.where(r >= 0, n[r] if len(n) else 0, 0)
-        # a token's logarithm in steps of 1/1024
-        steps = np.rint((v - c) * 1024).astype(np.int16)
-        out.append(zstandard.compress(b"".join([
-            framed(s.step), framed(steps), framed(s.lengths), framed(seen.astype("<i8"))]), 1))
-    return pd.DataFrame({"block": rows["block"].to_numpy(), "head": False, "data": out})
+    node, one, two = np.concatenate(node), np.concatenate(one), np.concatenate(two)
+    trie = Trie(Trie.pack(words, counts, names, node[train], one[train], two[train],
+                          model["mu"], model["gamma"], model["unigram"]))
+    value, context = trie.look_up(node, one, two, np.log10(model["mu"] * model["unigram"]), np.log10(model["mu"]))
+    at, end = 0, _near(np.array([END], dtype=np.uint64))[0]
+    for x, n, (block, s, r, t) in zip(run, lengths, parts):
+        v, c = value[at:at + n], context[at:at + n]
+        at += n
+        c = np.where(np.repeat(s.runs[r], s.lengths[r]) == end, 0.0, c)  # nothing follows the end
+        seen = np.where(x >= 0, counts[x] if len(counts) else 0, 0)
+        text = np.cumsum(s.step, dtype=np.int64)[t]
+        yield block, False, zstandard.compress(b"".join([
+            framed(np.diff(text, prepend=0).astype(np.int32)), framed(np.rint((v - c) * STEPS).astype(np.int16)),
+            framed(s.lengths[r]), framed(seen.astype("<i8"))]), 1)
 
 
 def score(docs, train, mu=MU, gamma=GAMMA):
@@ -286,7 +310,8 @@ def score(docs, train, mu=MU, gamma=GAMMA):
     Learns from the rows where the boolean column ``train`` holds. Tokens are a text's words, A-Z in
     lower case, and an end; null and empty texts have the end alone. base_score adds up
     log10((c + 1) / (N + V + 1)); score is the trigram model's log10 probability (see ``Trie``), read from
-    quantised tries. Words are known by a 64-bit hash, context words within a shard by 48 bits of it.
+    quantised tries. Words are known by a 64-bit hash, within a shard by 48 bits of it, and the word before
+    last within its node by 24 bits.
 
     All tokens go to the shard of their word: tries are built and read there, so the model may be as
     large as the corpus and no task holds more than a shard. Words with more tokens than an even shard
@@ -295,7 +320,7 @@ def score(docs, train, mu=MU, gamma=GAMMA):
     training rows all counts are 0. Other columns are not read.
     """
     spark = docs.sparkSession
-    shards = shuffle_partitions(spark)
+    shards = 2 * shuffle_partitions(spark)
     docs = docs.select("doc_id", "text", train.alias("train"))
     counts = word_counts(docs, shards)
     size = counts.agg(F.sum("n_tokens"), F.sum("n_words")).first()
@@ -311,7 +336,8 @@ def score(docs, train, mu=MU, gamma=GAMMA):
             return heads
         words = np.frombuffer(known["words"].iloc[0], dtype="<u8") if len(known) else np.zeros(0, "<u8")
         n = np.frombuffer(known["counts"].iloc[0], dtype="<u8") if len(known) else np.zeros(0, "<u8")
-        return pd.concat([heads, _score_shard(rows, words, n.astype(np.int64), model)])
+        found = list(_score_shard(rows, words, n.astype(np.int64), model))
+        return pd.concat([heads, pd.DataFrame(found, columns=["block", "head", "data"])])
 
     def add(rows):
         head = Head(rows.loc[rows["head"], "data"].iloc[0])
@@ -320,7 +346,7 @@ def score(docs, train, mu=MU, gamma=GAMMA):
         for data in rows.loc[~rows["head"], "data"]:
             reader = Reader(zstandard.decompress(data))
             text = np.cumsum(reader.array(np.int32))
-            value, lengths = reader.array(np.int16) / 1024, reader.array(np.uint32)
+            value, lengths = reader.array(np.int16) / STEPS, reader.array(np.uint32)
             seen = np.repeat(reader.array("<i8"), lengths)
             score_ += np.bincount(text, weights=value, minlength=len(n))
             base += np.bincount(text, weights=np.log10((seen + 1) * model["unigram"]), minlength=len(n))
