@@ -123,6 +123,24 @@ class TokenFile:
         return self.ids(int(self.offsets[k]), int(self.offsets[k + 1]))
 
 
+class Recent(dict):
+    """What ``make`` returns for a key, remembered for ``limit`` keys at least and twice as many at most."""
+
+    def __init__(self, limit):
+        super().__init__()
+        self.limit, self.old, self.make = limit, {}, None
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """Byte-level BPE of whole texts by the tokenizers library, remembering what it has encoded.
 
@@ -130,7 +148,7 @@ class Encoder:
     that are encoded on their own; most pieces of a text have been met before.
     """
 
-    def __init__(self, path, limit=300_000):
+    def __init__(self, path, limit=200_000):
         import os
         import re
 
@@ -142,37 +160,40 @@ class Encoder:
         if self.tokenizer.normalizer is not None or type(split).__name__ != "ByteLevel" or split.add_prefix_space:
             raise ValueError("only tokenizers with a plain byte-level pre-tokenizer encode piece by piece")
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.limit, self.parts, self.pieces = limit, {}, {}
+        self.split, self.model, self.parts = split.pre_tokenize_str, self.tokenizer.model.tokenize, Recent(limit)
+        # the sign that a byte-level vocabulary has for each byte of white space, ASCII and Latin letters
+        self.signs = {}
+        for code in range(0x250):
+            self.signs.update(zip(chr(code).encode(), split.pre_tokenize_str(chr(code))[0][0]))
+        self.space = self.signs[0x20]
         # white space of other kinds does not end a piece
         self.cut = re.compile(r"\s*\S+(?:[^\S \n\t\r]\s*\S*)*|\s+").findall
-
-        class Spaced(dict):
-            """Codes of a piece that follows a space, or starts with a line break."""
-
-            def __missing__(table, word):  # noqa: N805
-                if not word or word[-1].isspace():
-                    raise KeyError(word)  # what comes next would not start a pre-token
-                if len(table) >= limit:
-                    table.clear()
-                code = table[word] = self.encoded(word if word[0] == "\n" else " " + word)
-                return code
-
-        self.spaced = Spaced()
+        self.spaced = Recent(limit)
+        self.spaced.make = self._spaced
+        self.parts.make = self._part
+
+    def _part(self, part):
+        ids = [t.id for t in self.model(part)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _spaced(self, word):
+        """Codes of a piece that follows a space, or starts with a line break."""
+        if not word or word[-1].isspace():
+            raise KeyError(word)  # what comes next would not start a pre-token
+        # Latin letters, with at most one other sign behind them, need no pattern
+        if word.isascii() or max(word) < "\u0250":
+            letters = word if word.isalpha() else word[:-1] if word[:-1].isalpha() and word[-1] in ".,;:!?|" else ""
+            if letters:
+                signs = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.signs)
+                code = self.parts[self.space + signs]
+                return code if letters is word else code + self.parts[word[-1]]
+        return self.encoded(word if word[0] == "\n" else " " + word)
 
     def encoded(self, piece):
         if any(t in piece for t in self.added):
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
             return np.array(ids, dtype="<u4").tobytes()
-        out = []
-        for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(piece):
-            code = self.parts.get(part)
-            if code is None:
-                if len(self.parts) >= self.limit:
-                    self.parts.clear()
-                ids = [t.id for t in self.tokenizer.model.tokenize(part)]
-                code = self.parts[part] = struct.pack(f"<{len(ids)}I", *ids)
-            out.append(code)
-        return b"".join(out)
+        return b"".join([self.parts[part] for part, _ in self.split(piece)])
 
     def __call__(self, text):
         """The ids of a text as little-endian unsigned 32-bit integers."""
