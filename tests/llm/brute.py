@@ -40,6 +40,35 @@ def components(prints, reach=2):
     return {d: find(d) for d in ids}
 
 
+def shingle_set(text, width=5):
+    w = words((text or "").translate(LOWER))
+    return {tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1))}
+
+
+def linked_by_jaccard(texts, least=0.8):
+    """The least id that can be reached over pairs of similar texts, by id."""
+    sets = {d: shingle_set(t) for d, t in texts.items()}
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    ids, holds = sorted(sets), {}
+    for d in ids:
+        for s in sets[d]:
+            holds.setdefault(s, []).append(d)
+    for b in ids:
+        for a in {a for s in sets[b] for a in holds[s] if a < b}:
+            if min(len(sets[a]), len(sets[b])) >= least * max(len(sets[a]), len(sets[b])) - 1:
+                both = len(sets[a] & sets[b])
+                if both / (len(sets[a]) + len(sets[b]) - both) >= least:
+                    x, y = find(a), find(b)
+                    root[max(x, y)] = min(x, y)
+    return {d: find(d) for d in ids}
+
+
 def stats(text):
     text, w = text or "", words(text)
     often = collections.Counter(zip(w, w[1:], w[2:]))
