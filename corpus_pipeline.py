@@ -11,8 +11,9 @@ def quality_classifier(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """Of documents linked by a Jaccard similarity of 0.8 or more of five-word shingles, the one with the least doc_id stays."""
-    return near_dedup.without_near_copies(docs)
+    """Of documents linked by SimHash fingerprints of three-word shingles that differ in at most two bits, the one with the
+    least doc_id stays."""
+    return near_dedup.deduplicated(docs, width=3, reach=2)
 
 
 def benchmark_decontamination(spark, docs, sf_dir):

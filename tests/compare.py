@@ -58,3 +58,12 @@ def differences(spark, con, name, fn, sql, sf):
     if kinds_a != kinds_b:
         return f"{name}: types {[(c, kinds_a[c], kinds_b[c]) for c in kinds_a if kinds_a[c] != kinds_b[c]]}"
     return None if got else f"{name}: no rows"
+
+
+def by(df, *keys):
+    """Rows as {key: dict}."""
+    out = {}
+    for r in df.collect():
+        d = r.asDict()
+        out[tuple(d[k] for k in keys) if len(keys) > 1 else d[keys[0]]] = d
+    return out

@@ -45,12 +45,3 @@ def make_lines(spark):
         return spark.createDataFrame(out, LINES)
 
     return make
-
-
-def by(df, *keys):
-    """Rows as {key: dict}."""
-    out = {}
-    for r in df.collect():
-        d = r.asDict()
-        out[tuple(d[k] for k in keys) if len(keys) > 1 else d[keys[0]]] = d
-    return out

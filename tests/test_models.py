@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import by
+from compare import by
 
 from buycast.plans import models as L
 from buycast.plans import recommend as R

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import by
+from compare import by
 
 from buycast.operators import profile as P
 

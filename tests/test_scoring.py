@@ -2,7 +2,7 @@ import math
 import random
 
 import pytest
-from conftest import by
+from compare import by
 
 from buycast.operators import metrics as M
 from buycast.operators.submit import fill_template, flag_top_n, predicted_buyers, rollup_candidates

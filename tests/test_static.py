@@ -1,6 +1,6 @@
 import math
 
-from conftest import by
+from compare import by
 
 from buycast.operators.cutoffs import cutoff, rolling_splits
 from buycast.operators.static import STATIC_COLUMNS, agg_features

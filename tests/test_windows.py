@@ -2,7 +2,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import by
+from compare import by
 
 from buycast.functions.times import add_months, month_window
 from buycast.operators.cutoffs import cutoff, slots
