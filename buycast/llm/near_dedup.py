@@ -6,20 +6,12 @@ import xxhash
 from pyspark.sql import functions as F
 
 from buycast.llm.common import blocks, mix64, sampled, stored
-from buycast.llm.decontaminate import WordHashes, shingles
 from buycast.llm.graph import components
 
 #: Fingerprints that the top of the vantage-point tree is built from, about; its depth is bounded by them.
 SAMPLE = 1 << 16
 #: Fingerprints of a shard to aim at, and below which a shard is compared by brute force.
 SHARD, BRUTE = 4096, 512
-#: Bands of minima and minima of a band. Texts with a Jaccard similarity of 0.8 agree in none of the bands with a chance of
-#: (1 - 0.8 ** 4) ** 32 = 5e-8, more similar ones more rarely.
-BANDS, ROWS = 32, 4
-#: Before sets are read, pairs go of which fewer minima agree: this many standard deviations under the mean of pairs just similar.
-DEVIATIONS = 6
-#: Nodes of a band that one task compares with as many others, about.
-CHUNK = 1000
 
 
 def _fingerprints(texts, width):
@@ -217,146 +209,3 @@ def deduplicated(docs, width=3, reach=2):
         .select(F.col("first.doc_id").alias("__keep_id"), F.col("first.row").alias("__keep_row"))
     )
     return _only(docs, kept)
-
-
-def _shingle_sets(texts, width):
-    """Per text the ascending distinct hashes of its runs of ``width`` lower-cased words; all words if they are fewer."""
-    hashes = WordHashes()
-    for text in texts:
-        words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-        own = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
-        yield np.unique(shingles(own, min(width, len(words)))) if words else own
-
-
-def _sketch(width):
-    """Column function: node (hash of the shingle set), its size, a hash per band of minima over the set, and a byte of each minimum."""
-    factors = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
-    salts = mix64(np.arange(1, BANDS + 1, dtype=np.uint64) << np.uint64(32))
-
-    @F.pandas_udf("node long, size int, bands array<long>, marks binary")
-    def sketch(texts: pd.Series) -> pd.DataFrame:
-        texts, nodes, sizes, bands, marks = texts.tolist(), [], [], [], []
-        for part in blocks(texts):
-            own = list(_shingle_sets(texts[part], width))
-            nodes += [xxhash.xxh64_intdigest(x.tobytes()) for x in own]
-            n = np.array([len(x) for x in own])
-            sizes += n.tolist()
-            out, mark = np.zeros((len(own), BANDS), dtype=np.uint64), np.zeros((len(own), BANDS * ROWS), dtype=np.uint8)
-            some = n > 0
-            if some.any():
-                every, starts = np.concatenate(own), (np.cumsum(n) - n)[some]
-                for b in range(BANDS):
-                    key = np.full(len(starts), salts[b], dtype=np.uint64)
-                    for i in range(b * ROWS, (b + 1) * ROWS):
-                        least = np.minimum.reduceat(every * factors[i], starts)
-                        mark[some, i] = mix64(least).astype(np.uint8)
-                        key = mix64(key ^ least) + salts[b]
-                    out[some, b] = key
-            bands += list(out.view(np.int64))
-            marks += [x.tobytes() for x in mark]
-        return pd.DataFrame({"node": np.array(nodes, dtype=np.uint64).view(np.int64), "size": sizes, "bands": bands, "marks": marks})
-
-    return sketch
-
-
-def _similar(pairs, sets, similarity):
-    """The (u, v) of ``pairs`` whose shingle sets have a Jaccard similarity of ``similarity`` or more."""
-
-    @F.pandas_udf("boolean")
-    def similar(left: pd.Series, right: pd.Series) -> pd.Series:
-        out = []
-        for a, b in zip(left, right):
-            a, b = np.frombuffer(a, dtype="<u8"), np.frombuffer(b, dtype="<u8")
-            small, large = (a, b) if len(a) < len(b) else (b, a)
-            both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
-            out.append(both / (len(a) + len(b) - both) >= similarity)
-        return pd.Series(out, dtype=bool)
-
-    left, right = (sets.select(F.col("node").alias(x), F.col("grams").alias(f"{x}_grams")) for x in "uv")
-    return pairs.join(left, "u").join(right, "v").filter(similar("u_grams", "v_grams")).select("u", "v")
-
-
-def _labelled(shared, edges):
-    """``shared`` with the label of every node's component."""
-    return shared.join(components(edges), "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
-
-
-def _links(nodes, docs, width, similarity):
-    """(u, v) that connect all nodes whose shingle sets are linked by pairs of ``similarity`` or more.
-
-    Nodes with an equal band meet. First each is compared with the least of its band, which links most
-    of a group of near copies at one pair a node; then all pairs of a band that are still unconnected and whose minima agree often enough are compared.
-    """
-    listed = nodes.filter("size > 0").select("node", "size", F.explode("bands").alias("key"))
-    least = listed.groupBy("key").agg(F.min(F.struct("node", "size")).alias("least"), F.count(F.lit(1)).alias("n"))
-    shared = stored(listed.join(least.filter("n > 1"), "key").select("key", "node", "size", "least"))
-    wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select(
-        "node", F.col("first.row").alias("__row"), F.col("first.doc_id").alias("__id"))
-
-    @F.pandas_udf("binary")
-    def grams(texts: pd.Series) -> pd.Series:
-        return pd.Series([x.astype("<u8").tobytes() for x in _shingle_sets(texts.tolist(), width)], dtype=object)
-
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("__row"), "doc_id", "text").join(wanted, "__row").filter(
-        F.col("doc_id").eqNullSafe(F.col("__id"))).select("node", "text")
-    sets = stored(texts.dropDuplicates(["node"]).select("node", grams("text").alias("grams")))
-
-    def near(a, b):
-        return F.least(a, b) / F.greatest(a, b) >= similarity
-
-    stars = shared.filter((F.col("node") != F.col("least.node")) & near(F.col("size"), F.col("least.size")))
-    stars = stars.select(F.col("least.node").alias("u"), F.col("node").alias("v")).distinct()
-    edges = stored(_similar(stars, sets, similarity))
-    labelled = stored(_labelled(shared.drop("least"), edges))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
-    pairs = _apart(labelled.join(mixed.filter("low < high").select("key", "n"), "key"), nodes, similarity).distinct()
-    return edges.union(_similar(pairs.join(stars, ["u", "v"], "left_anti"), sets, similarity))
-
-
-def _apart(rows, nodes, similarity):
-    """(u, v), u < v, of one band with different labels that may be similar by their sizes and minima.
-
-    Chunks of a large band meet in groups of two, so no task holds a whole band.
-    """
-    n = BANDS * ROWS
-    least = similarity * n - DEVIATIONS * np.sqrt(n * similarity * (1 - similarity))
-
-    def search(rows):
-        rows = rows.sort_values("node")
-        node, label, size, side = (rows[c].to_numpy() for c in ("node", "label", "size", "side"))
-        marks = np.frombuffer(b"".join(rows["marks"]), dtype=np.uint8).reshape(-1, n)
-        found = []
-        for i in range(len(node)):
-            j = i + 1 + np.flatnonzero(label[i + 1:] != label[i])
-            if rows["low"].iloc[0] != rows["high"].iloc[0]:
-                j = j[side[j] != side[i]]
-            j = j[np.minimum(size[j], size[i]) / np.maximum(size[j], size[i]) >= similarity]
-            j = j[(marks[j] == marks[i]).sum(axis=1) >= least]
-            found.append(np.stack([np.full(len(j), node[i]), node[j]], axis=1))
-        found = np.concatenate(found)
-        return pd.DataFrame({"u": found[:, 0], "v": found[:, 1]})
-
-    chunks = F.ceil(F.col("n") / CHUNK)
-    rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), chunks)).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    rows = rows.join(nodes.select("node", "marks"), "node").select(
-        "key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "node", "label", "size", "marks")
-    return rows.groupBy("key", "low", "high").applyInPandas(search, "u long, v long")
-
-
-def without_near_copies(docs, width=5, similarity=0.8):
-    """``docs`` with one row of each component of documents linked by a Jaccard similarity of ``similarity`` or more.
-
-    The similarity is that of the sets of shingles of ``width`` words, lower-cased as in ``fingerprint``;
-    fewer words are one shingle. Pairs are found by bands of minima and compared exactly. Which row stays, what
-    equal rows give and which columns stay is as in ``deduplicated``; null and texts without words are copies of each other.
-    """
-    marked = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), _sketch(width)("text").alias("of"))
-    marked = stored(marked.select("doc_id", "row", "of.*"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
-    nodes = stored(marked.groupBy("node").agg(first, F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("marks").alias("marks")))
-    linked = components(_links(nodes, docs, width, similarity))
-    kept = (
-        nodes.select("node", "first").join(linked, "node", "left").groupBy(F.coalesce("root", "node").alias("label"))
-        .agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("__keep_id"), F.col("first.row").alias("__keep_row"))
-    )
-    return _only(docs, kept)
