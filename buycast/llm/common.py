@@ -71,6 +71,19 @@ def blocks(texts, limit=BLOCK_CHARS, most=1 << 20):
         yield slice(start, len(texts))
 
 
+SPACE = re.compile(r"[\x20\x09-\x0D]")
+
+
+def block_pieces(text, limit=BLOCK_CHARS):
+    """Consecutive pieces of a text of about ``limit`` characters or more, cut before ASCII white space only."""
+    start = 0
+    while start < len(text):
+        cut = SPACE.search(text, start + limit) if len(text) - start > limit else None
+        end = cut.start() if cut else len(text)
+        yield text[start:end]
+        start = end
+
+
 def sampled(rows, column, bound):
     """All rows if there are at most ``bound``, else about that many, picked by the hash of ``column``."""
     n = rows.count()

@@ -2,7 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from buycast.llm import decontaminate, language, mixing, near_dedup, ngram_lm, outliers, quality, suffix_dedup, token_codes, token_counts
+from buycast.llm import (
+    centroids, decontaminate, language, lexical, mixing, near_dedup, ngram_lm, outliers, parity_join, quality, suffix_dedup, token_codes,
+    token_counts,
+)
 from buycast.llm.common import documents, remainder
 
 QUERIES, ORACLES = {}, {}
@@ -149,3 +152,87 @@ def op8_trie_scores(spark, sf):
 @query()
 def op9_merged_transforms(spark, sf):
     return suffix_dedup.without_repeats(documents(spark, sf))
+
+
+# Pairs by counting shared shingles; components by reachability.
+LINKS_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+  sets AS (
+    SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM words),
+  shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+  pairs AS (
+    SELECT a.doc_id AS u, b.doc_id AS v FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id AND 100 * b.n >= 80 * a.n AND 100 * a.n >= 80 * b.n
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+  reach AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, p.v FROM reach r JOIN pairs p ON p.u = r.v)
+SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sets JOIN (
+  SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u) USING (doc_id)"""
+
+
+@query(LINKS_SQL)
+def op11_parity_join(spark, sf):
+    return parity_join.linked(documents(spark, sf))
+
+
+def clusters_sql(k=40, rounds=5, seed=2):
+    def assigned(i):
+        return f"""
+  near{i} AS MATERIALIZED (
+    SELECT vec_id, v, min({{'d': list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(v, c)]), 'c': cluster}}) AS best
+    FROM vectors, centres{i} GROUP BY vec_id, v)"""
+
+    def centres(i):
+        means = ", ".join(f"CAST((t[{d}] - ((t[{d}] % n) + n) % n) // n AS BIGINT)" for d in range(1, 65))
+        sums = ", ".join(f"CAST(sum(v[{d}]) AS BIGINT)" for d in range(1, 65))
+        return f"""
+  centres{i} AS MATERIALIZED (
+    SELECT c.cluster, coalesce(m.means, c.c) AS c FROM centres{i - 1} c LEFT JOIN (
+      SELECT cluster, [{means}] AS means FROM (
+        SELECT best.c AS cluster, count(*) AS n, [{sums}] AS t FROM near{i - 1} GROUP BY best.c)) m USING (cluster))"""
+
+    steps = ",".join(assigned(i) + "," + centres(i + 1) for i in range(rounds)) + "," + assigned(rounds)
+    return rf"""
+WITH vectors AS MATERIALIZED (
+    SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64),
+  centres0 AS MATERIALIZED (
+    SELECT CAST(row_number() OVER (ORDER BY h) - 1 AS INTEGER) AS cluster, v AS c FROM (
+      SELECT sha256('{seed}:' || vec_id) AS h, v FROM vectors ORDER BY h LIMIT {k})),{steps},
+  summed AS (SELECT best.c AS cluster, CAST(sum(best.d) AS BIGINT) AS s FROM near{rounds} GROUP BY best.c)
+SELECT vec_id, best.c AS cluster, CAST(best.d AS BIGINT) AS distance, s AS cluster_inertia,
+  CAST((SELECT sum(s) FROM summed) AS BIGINT) AS inertia, sha256(array_to_string(centres{rounds}.c, ',')) AS centroid_sha256
+FROM near{rounds} JOIN summed ON summed.cluster = best.c JOIN centres{rounds} ON centres{rounds}.cluster = best.c"""
+
+
+@query(clusters_sql())
+def op12_tabulated_centroids(spark, sf):
+    return centroids.clustered(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+# Scores of all documents that share a term with an item.
+RANKS_SQL = r"""
+WITH terms AS (
+    SELECT doc_id, row, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM (SELECT *, row_number() OVER () AS row FROM documents)),
+  sized AS (SELECT doc_id, row, t, len(t) AS n FROM terms WHERE len(t) > 0),
+  corpus AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sized),
+  found AS (SELECT row, doc_id, n, t AS term, count(*) AS tf FROM (SELECT row, doc_id, n, unnest(t) AS t FROM sized) GROUP BY ALL),
+  weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM found GROUP BY term), corpus),
+  asked AS (
+    SELECT item, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT *, row_number() OVER () AS item FROM benchmark)),
+  scored AS (
+    SELECT item, item_id, doc_id, row, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+    FROM asked JOIN weights USING (term) JOIN found USING (term), corpus GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 20"""
+
+
+@query(RANKS_SQL)
+def op13_sketched_search(spark, sf):
+    return lexical.ranked(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
