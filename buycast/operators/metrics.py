@@ -9,21 +9,21 @@ from buycast.runtime import running_totals
 NAMES = ("auc", "accuracy", "precision", "recall", "f1")
 
 
-def auc(df: DataFrame, label="label", prob="probability") -> DataFrame:
-    """Area under the ROC curve, ties counted half; null if only one class occurs.
+def auc(df: DataFrame, label="label", prob="probability", groups=()) -> DataFrame:
+    """Area under the ROC curve, ties counted half; null if only one class occurs. With ``groups``, a row for each.
 
     Rows are reduced to one per distinct score before anything is sorted.
     """
     is_pos = F.col(label) == 1
     per_score = (
         df.filter(F.col(label).isNotNull())
-        .groupBy(F.col(prob).alias("score"))
+        .groupBy(*groups, F.col(prob).alias("score"))
         .agg(F.count_if(is_pos).alias("pos"), F.count_if(~is_pos).alias("neg"))
     )
-    ranked = running_totals(per_score, "score", ["neg"])
+    ranked = running_totals(per_score, "score", ["neg"], groups)
     wins = F.sum(F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / 2))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
-    return ranked.agg(F.try_divide(wins, pairs).alias("auc"))
+    return (ranked.groupBy(*groups) if groups else ranked).agg(F.try_divide(wins, pairs).alias("auc"))
 
 
 def _counts(df, label, prob, threshold):

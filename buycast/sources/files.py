@@ -1,11 +1,14 @@
 """Readers and writers for tables, dictionaries, models and training logs."""
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from buycast.functions.times import to_time, to_time_or_null
+from buycast.operators.steps import StepModel
+from buycast.operators.trees import TreeModel
 from buycast.runtime import global_index, stored
 from buycast.sources.schemas import CUSTOMERS, ORDER_DETAIL, TIME_COLUMNS
 
@@ -125,10 +128,21 @@ def write_candidates(df: DataFrame, path: str, customers_per_chunk=1000, key="cu
 
 
 def save_model(model, path: str):
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
+    """Keep a model: boosted trees and step models as Parquet tables, pipelines in Spark's own format."""
+    if isinstance(model, PipelineModel):
+        model.write().overwrite().save(path)
+    else:
+        model.save(path)
+
+
+def load_model(path: str):
+    """The model kept at ``path``; its kind follows from the folders there."""
+    for folder, load in (("nodes", TreeModel.load), ("steps", StepModel.load)):
+        try:
+            SparkSession.active().read.parquet(f"{path}/{folder}")
+        except AnalysisException:
+            continue
+        return load(path)
     return PipelineModel.load(path)
 
 

@@ -22,8 +22,6 @@ from contract.common import (
 from contract.sql_features import feature_sql_ctes
 from contract.scoring import DAILY_COLUMNS, EVENT_COLUMNS
 
-SMALL = {"xgb": {"maxIter": 10}, "lgb": {"maxIter": 10}, "mlp": {"maxIter": 30}, "reg": {"maxIter": 100},
-         "fm": {"factorSize": 8, "maxIter": 10, "numFeatures": 1 << 12}}
 TIME = feature_columns("time")
 
 
@@ -37,7 +35,7 @@ def _scores(spark, sf, name):
     """Trained on the train split; the buyers it writes for the test split, with the scores of the stored model."""
     splits = _splits(spark, sf)
     path, buyers = scratch(spark, f"model-{name}"), scratch(spark, f"buyers-{name}")
-    save_model(L.submit(name, splits, TIME, buyers, TOP_N, SMALL[name]), path)
+    save_model(L.submit(name, splits, TIME, buyers, TOP_N), path)
     scored = L.score(load_model(path), splits["test"])
     written = spark.read.schema("customer_id long, score double, result int").option("header", True).csv(buyers)
     return flag_top_n(scored, n=TOP_N).select("customer_id", "score").join(written.drop("score"), "customer_id")
@@ -66,8 +64,8 @@ def buyers_by_perceptron(spark, sf):
 @query()
 def validation_metrics_of_models(spark, sf):
     splits, out = _splits(spark, sf), None
-    for name in ("reg", "xgb"):
-        one = L.evaluate(L.fit(name, splits["train"], TIME, SMALL[name]), splits["validation"])
+    for name in ("reg", "xgb", "lgb", "mlp"):
+        one = L.evaluate(L.fit(name, splits["train"], TIME), splits["validation"])
         one = one.withColumn("model", F.lit(name))
         out = one if out is None else out.unionByName(one)
     return out
@@ -76,33 +74,33 @@ def validation_metrics_of_models(spark, sf):
 @query()
 def top_feature_importances(spark, sf):
     splits = _splits(spark, sf)
-    model = L.fit("xgb", splits["train"], TIME, SMALL["xgb"])
-    return L.importances(model, TIME, spark, top=10)
+    model = L.fit("xgb", splits["train"], TIME)
+    return L.importances(model, spark, top=10)
 
 
 @query()
 def loss_per_boosting_round(spark, sf):
     splits = _splits(spark, sf)
-    model = L.fit("xgb", splits["train"], TIME, SMALL["xgb"])
+    model = L.fit("xgb", splits["train"], TIME)
     return L.loss_per_round(model, splits["validation"])
 
 
 @query()
 def feature_set_comparison(spark, sf):
-    """AUC curves of logistic regression per feature set, side by side."""
+    """AUC curves of four models on three feature sets, side by side."""
     tables, features = {}, {}
     for method in ("agg", "time", "both"):
         splits = _splits(spark, sf, method)
         tables[method] = (splits["train"], splits["validation"])
         features[method] = feature_columns(method)
-    return compare_runs(L.compare_feature_sets(tables, ("reg",), features, steps=(1, 5, 20)))
+    return compare_runs(L.compare_feature_sets(tables, ("gd", "xgb", "lgb", "mlp"), features, steps=(100,)))
 
 
 @query()
 def recommender_scores_of_test_month(spark, sf):
     """Metrics of the factorisation model, trained on one month, on the samples of the next."""
     events, _ = encode_events(lines(spark, sf, *EVENT_COLUMNS), KEY)
-    model = R.fit_recommender(stored(sequence_samples(events, TRAIN_MONTH, KEY)), SMALL["fm"])
+    model = R.fit_recommender(stored(sequence_samples(events, TRAIN_MONTH, KEY)))
     samples = R.item_tokens(R.user_tokens(sequence_samples(events, TEST_MONTH, KEY)))
     return L.evaluate(model, samples)
 
@@ -111,7 +109,7 @@ def recommender_scores_of_test_month(spark, sf):
 def buyers_by_recommender(spark, sf):
     """Best good of the whole catalog for every listed customer, as a buyer list."""
     listed = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("customer_id"))
-    return R.recommend_buyers(lines(spark, sf, *EVENT_COLUMNS), listed, TRAIN_MONTH, PREDICT_MONTH, KEY, SMALL["fm"])
+    return R.recommend_buyers(lines(spark, sf, *EVENT_COLUMNS), listed, TRAIN_MONTH, PREDICT_MONTH, KEY)
 
 
 # A label that follows from the first of these features: did the customer pay for anything in the last 91 days?
@@ -176,7 +174,7 @@ def first_importance_on_known_label(spark, sf):
     """The most important feature is the one that agrees with the label in most rows."""
     train = _with_known_label(_splits(spark, sf)["train"])
     model = L.fit("xgb", train, _GIVEN)
-    top = L.importances(model, _GIVEN, spark, top=1).select("feature")
+    top = L.importances(model, spark, top=1).select("feature")
     agrees = train.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("name"), ((F.col(c) > 0).cast("int") == F.col("label")).cast("long").alias("same")) for c in _GIVEN])))
     agrees = agrees.groupBy("name").agg(F.sum("same").alias("agrees"))

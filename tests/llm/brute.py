@@ -168,3 +168,48 @@ def contaminated(texts, items, words_of, width=5, threshold=0.8):
             if best >= threshold:
                 out[doc, item] = best
     return out
+
+
+def parity_links(texts):
+    """(n_shingles, component_id): documents without words link with nothing."""
+    full = {d: t for d, t in texts.items() if words(t)}
+    linked = linked_by_jaccard(full)
+    return {d: (len(shingle_set(t)) if d in full else 0, linked.get(d, d)) for d, t in texts.items()}
+
+
+def lloyd(vectors, k, rounds, seed=2):
+    """{vec_id: (cluster, distance)} and the centroids, for lists of integers by id."""
+    order = sorted(vectors, key=lambda i: hashlib.sha256(f"{seed}:{i}".encode()).hexdigest())
+    centres = [list(vectors[i]) for i in order[:k]]
+
+    def assign():
+        far = {i: [sum((a - b) ** 2 for a, b in zip(v, c)) for c in centres] for i, v in vectors.items()}
+        return {i: (f.index(min(f)), min(f)) for i, f in far.items()}
+
+    for _ in range(rounds):
+        own = collections.defaultdict(list)
+        for i, (c, _) in assign().items():
+            own[c].append(vectors[i])
+        for c, members in own.items():
+            centres[c] = [sum(x) // len(members) for x in zip(*members)]
+    return assign(), centres
+
+
+def search(texts, items, k=20):
+    """[(item, rank, doc_id, score)] for texts as (doc_id, text) and items as (item_id, text)."""
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    docs = [(d, collections.Counter(term.findall((t or "").translate(LOWER)))) for d, t in texts]
+    docs = [(d, c) for d, c in docs if c]
+    n, total = len(docs), sum(c.total() for _, c in docs)
+    df = collections.Counter(t for _, c in docs for t in c)
+    out = []
+    for item, text in items:
+        asked = [t for t in term.findall((text or "").translate(LOWER)) if t in df]
+        scored = []
+        for d, c in docs:
+            m = 75 + 25 * c.total() * n // total
+            s = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 12 * m)) for t in asked if t in c)
+            if s > 0:
+                scored.append((-s, d is None, d))
+        out += [(item, i + 1, d, -s) for i, (s, _, d) in enumerate(sorted(scored)[:k])]
+    return out

@@ -8,7 +8,7 @@ from buycast.plans import recommend as R
 from buycast.sources import load_model, save_model
 
 FEATURES = ["a", "b", "c"]
-FAST = {"reg": {"maxIter": 50}, "xgb": {"maxIter": 5}, "lgb": {"maxIter": 5}, "mlp": {"hidden": [8], "maxIter": 40}}
+FAST = {"reg": {"maxIter": 50}, "gd": {"steps": 20}, "xgb": {"rounds": 5}, "lgb": {"rounds": 5}, "mlp": {"hidden": [8], "maxIter": 40}}
 
 
 @pytest.fixture(scope="module")
@@ -43,7 +43,7 @@ def test_curves_and_importances(spark, tables):
     model = L.fit("xgb", train, FEATURES, FAST["xgb"])
     losses = [r["value"] for r in L.loss_per_round(model, train).orderBy("iteration").collect()]
     assert len(losses) == 5 and losses[-1] < losses[0]
-    top = [r["feature"] for r in L.importances(model, FEATURES, spark, top=2).collect()]
+    top = [r["feature"] for r in L.importances(model, spark, top=2).collect()]
     assert top == ["a", "b"]
     curve = L.compare_feature_sets({"x": (train, test)}, ("reg",), {"x": FEATURES}, steps=(1, 10)).collect()
     assert [(r["run"], r["iteration"]) for r in curve] == [("reg_x", 1), ("reg_x", 10)]
