@@ -64,7 +64,7 @@ def _null_pattern():
     return " | ".join(f"if({c} is null, {1 << i}, 0)" for i, c in enumerate(LAST))
 
 
-def _partial_rows(df, keys, order, extras):
+def partial_rows(df, keys, order, extras):
     """One row per ``keys`` and null pattern holding the mergeable states."""
     key = ", ".join(f"'o{i}', {c}" for i, c in enumerate(order))
     values = ", ".join(f"'{c}', {c}" for c in LAST)
@@ -176,14 +176,15 @@ def agg_features(df: DataFrame, ord_col=("order_pay_time", "order_detail_id"), o
     be unique per customer. ``fill=None`` leaves nulls.
     """
     order = [ord_col] if isinstance(ord_col, str) else list(ord_col)
-    partial = _partial_rows(df.filter(F.col("customer_id").isNotNull()), ["customer_id"], order, extras)
+    partial = partial_rows(df.filter(F.col("customer_id").isNotNull()), ["customer_id"], order, extras)
     merged = partial.groupBy("customer_id").agg(*_merged_states(partial, ["customer_id"], order))
     names, out = _finish(origin, extras, "cast(last_order_pay_time.v as date)")
     result = merged.select("customer_id", *[_as_feature(n, out[n]) for n in names])
     return result if fill is None else fill_missing(result, fill, names)
 
 
-def _boundaries(cutoffs, label_rule):
+def boundaries_of(cutoffs, label_rule):
+    """The days that cut-offs and label windows end with, in order."""
     ends = {c.day for c in cutoffs}
     if label_rule is not None:
         ends |= {label_end(c.day, label_rule) for c in cutoffs if c.has_label} - {None}
@@ -238,15 +239,21 @@ def customer_features(df: DataFrame, cutoffs: list[Cutoff], label_rule="month",
     has none. Nulls among the features are left for the caller to fill.
     """
     order = [ord_col] if isinstance(ord_col, str) else list(ord_col)
-    boundaries = _boundaries(cutoffs, label_rule)
+    boundaries = boundaries_of(cutoffs, label_rule)
     rows = df.filter(F.col("customer_id").isNotNull() & F.col("order_pay_time").isNotNull())
     if not (label_rule == "open" and any(c.has_label for c in cutoffs)):
         rows = rows.filter(up_to(F.col("order_pay_time"), boundaries[-1]))
     rows = rows.withColumn("period", period_of(F.col("order_pay_time"), boundaries))
     if with_static:
-        partial = _partial_rows(rows, ["customer_id", "period"], order, extras)
+        partial = partial_rows(rows, ["customer_id", "period"], order, extras)
     else:
         partial = rows.groupBy("customer_id", "period").agg(F.count(F.lit(1)).alias("n_rows"))
+    return merged_features(partial, cutoffs, boundaries, label_rule, order, origin, with_static, extras)
+
+
+def merged_features(partial: DataFrame, cutoffs: list[Cutoff], boundaries, label_rule, order, origin=ORIGIN,
+                    with_static=True, extras=False) -> DataFrame:
+    """``customer_features`` from partial rows (customer_id, period, mergeable states)."""
     # a few rows per customer (periods × null patterns) from here on, so hashing by customer is even
     spread = (
         partial.repartition("customer_id")

@@ -44,7 +44,7 @@ def goods_labels(daily_rows: DataFrame, cutoffs: list[Cutoff]) -> DataFrame:
 
 def feature_set(df: DataFrame, cutoffs: list[Cutoff], method="both", label_rule="month",
                 ord_col=("order_pay_time", "order_detail_id"), floor=FLOOR, origin=None, fill=MISSING,
-                daily_rows: DataFrame | None = None) -> DataFrame:
+                daily_rows: DataFrame | None = None, people: DataFrame | None = None) -> DataFrame:
     """(split, cutoff, customer_id, features, label) for all cut-offs in one plan.
 
     The customers of a cut-off are those with a line up to it. Static features and label come out of
@@ -52,12 +52,12 @@ def feature_set(df: DataFrame, cutoffs: list[Cutoff], method="both", label_rule=
     row per pair. Missing values are filled last; ``fill=None`` leaves them null.
 
     ``daily_rows`` may bring ready ``daily`` sums, for example from a source that reads fewer tables
-    for them than for ``df``.
+    for them than for ``df``, and ``people`` ready ``customer_features``; with both, ``df`` is not read.
     """
     names = feature_columns(method)
     extra = {} if origin is None else {"origin": origin}
     by_goods = label_rule == "goods30"
-    out = customer_features(
+    out = people if people is not None else customer_features(
         df, cutoffs, label_rule=None if by_goods else label_rule, ord_col=ord_col,
         with_static=method != "time", **extra,
     )

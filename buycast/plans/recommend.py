@@ -11,15 +11,17 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from buycast.functions.numbers import or_empty
+from buycast.functions.numbers import or_empty, sigmoid
 from buycast.operators.encode import decode
 from buycast.operators.sequences import catalog, encode_events, histories, sequence_samples, target_customers
 from buycast.operators.submit import fill_template, rollup_candidates
 from buycast.plans.models import fit, score
-from buycast.runtime import stored
+from buycast.runtime import global_index, stored
 
 #: Goods of a block of the catalog: what a task holds of it at a time.
 GOODS_PER_BLOCK = 16_384
+#: Customers that one task multiplies with a block, about.
+CUSTOMERS_PER_PART = 50_000
 ROWS_PER_PRODUCT = 128
 
 
@@ -63,63 +65,115 @@ def _sums(index_lists, factors, linear):
     return total, np.add.reduceat(linear[flat], starts) + 0.5 * ((total * total).sum(axis=1) - squares)
 
 
-def best_candidates(model: PipelineModel, customers: DataFrame, goods: DataFrame,
-                    goods_per_block=GOODS_PER_BLOCK) -> DataFrame:
-    """(customer_id, candidate_good, probability): the best good of the whole catalog for each customer.
+class CandidateSearch:
+    """The best good of the whole catalog for each customer, without building the pairs.
 
-    ``customers`` holds customer_idx, history_goods and history_classes; ``goods`` holds goods_idx
-    (dense from 1) and class_idx. Equal to scoring all pairs and keeping the maximum, but a block of
-    customers meets a block of the catalog as a matrix product inside a task, so no pair becomes a row
-    and neither side passes the driver. Of each block only a customer's best good goes on.
+    ``customers`` holds customer_idx, history_goods and history_classes; ``goods`` holds goods_idx and
+    class_idx. A pair's margin is a customer term, a good's term and the product of two vectors, so
+    no good of a block can pass the largest term of the block plus the product of the vectors' norms. Goods are
+    range-sorted by norm and cut in blocks. Every customer meets the block of the largest norms first, and of
+    the others only those whose bound reaches the best margin found there. A block of customers meets a block
+    of the catalog as a matrix product inside a task; of each block only a customer's best good goes on.
     """
-    spark = customers.sparkSession
-    user_tf, item_tf, fm = model.stages[0], model.stages[1], model.stages[3]
-    width = user_tf.getNumFeatures()
-    factors, linear = fm.factors.toArray(), fm.linear.toArray()
-    # size fixed by the model parameters (hash width × factor size), not by the data
-    table = spark.sparkContext.broadcast((factors, linear, float(fm.intercept)))
-
-    listed = customers.select(
-        F.col("customer_idx").alias("customer_id"), or_empty("history_goods").alias("history_goods"),
-        or_empty("history_classes").alias("history_classes"))
-    users = user_tf.transform(user_tokens(listed)).select(
-        "customer_id", F.unwrap_udt("user_vector")["indices"].alias("indices"))
-    catalog = item_tf.transform(item_tokens(goods.select(
-        F.col("goods_idx").alias("candidate_good"), F.coalesce("class_idx", F.lit(0)).alias("candidate_class"),
-    ))).select("candidate_good", F.unwrap_udt("item_vector")["indices"].alias("indices"))
-
-    # a block of the catalog meets the customers in as many tasks as a shuffle has
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = F.sequence(F.lit(0), F.floor((F.lit(goods.agg(F.max("goods_idx")).scalar()) - 1) / goods_per_block).cast("int"))
-    users = users.withColumn("part", F.pmod(F.xxhash64("customer_id"), F.lit(parts)).cast("int")).withColumn(
-        "block", F.explode(blocks))
-    items = catalog.withColumn("block", F.floor((F.col("candidate_good") - 1) / goods_per_block).cast("int")).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-
-    def best(own, offered):
-        if not len(own) or not len(offered):
-            return pd.DataFrame({"customer_id": [], "candidate_good": [], "probability": []})
-        factors, linear, intercept = table.value
-        vectors, shares = _sums(list(offered["indices"]), factors[width:], linear[width:])
-        ids, out = offered["candidate_good"].to_numpy(dtype=np.int64), []
-        for i in range(0, len(own), ROWS_PER_PRODUCT):
-            some = own.iloc[i:i + ROWS_PER_PRODUCT]
-            total, share = _sums(list(some["indices"]), factors[:width], linear[:width])
-            block = total @ vectors.T + shares
-            top = block.max(axis=1)
-            # the least good of equals
-            pick = np.where(block == top[:, None], ids[None, :], np.iinfo(np.int64).max).min(axis=1)
-            out.append(pd.DataFrame({"customer_id": some["customer_id"], "candidate_good": pick,
-                                     "probability": 1.0 / (1.0 + np.exp(-(intercept + share + top)))}))
-        return pd.concat(out)
-
-    keys = ["block", "part"]
-    met = users.groupBy(*keys).cogroup(items.groupBy(*keys)).applyInPandas(
-        best, "customer_id long, candidate_good long, probability double")
-    # a customer listed twice, or met by several blocks, keeps its best good
-    best_row = F.max(F.struct("probability", (-F.col("candidate_good")).alias("g")))
-    return met.groupBy("customer_id").agg(best_row.alias("b")).select(
-        "customer_id", (-F.col("b.g")).alias("candidate_good"), "b.probability")
+
+    def __init__(self, model: PipelineModel, customers: DataFrame, goods: DataFrame, goods_per_block=GOODS_PER_BLOCK,
+                 customers_per_part=CUSTOMERS_PER_PART):
+        spark = customers.sparkSession
+        self.user_tf, self.item_tf, fm = model.stages[0], model.stages[1], model.stages[3]
+        self.width = self.user_tf.getNumFeatures()
+        # size fixed by the model parameters (hash width × factor size), not by the data
+        self.table = spark.sparkContext.broadcast((fm.factors.toArray(), fm.linear.toArray(), float(fm.intercept)))
+        listed = customers.select(
+            F.col("customer_idx").alias("customer_id"), or_empty("history_goods").alias("history_goods"),
+            or_empty("history_classes").alias("history_classes"))
+        # a customer listed twice is looked for once
+        users = self._vectors(self.user_tf.transform(user_tokens(listed.dropDuplicates(["customer_id"]))).select(
+            F.col("customer_id").alias("id"), F.unwrap_udt("user_vector")["indices"].alias("indices")), users=True)
+        self.users = stored(users)
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-self.users.count() // customers_per_part))
+        self.parts = parts
+        items = self._vectors(self.item_tf.transform(item_tokens(goods.select(
+            F.col("goods_idx").alias("candidate_good"), F.coalesce("class_idx", F.lit(0)).alias("candidate_class"),
+        ))).select(F.col("candidate_good").alias("id"), F.unwrap_udt("item_vector")["indices"].alias("indices")), users=False)
+        placed = global_index(items, [F.desc("norm"), F.col("id")], "place")
+        self.items = stored(placed.withColumn("block", F.floor(F.col("place") / goods_per_block).cast("int")).drop("place"))
+        # one entry per block of the catalog
+        self.blocks = self.items.groupBy("block").agg(F.max("norm").alias("norm"), F.max("share").alias("share"), F.count(F.lit(1)).alias("n"))
+
+    def _vectors(self, rows, users):
+        """(id, vector, share, norm): the sum of a row's factors, its own share of the margin, and the sum's length."""
+        table, first = self.table, 0 if users else self.width
+
+        def sums(batches):
+            for batch in batches:
+                if len(batch):
+                    factors, linear, _ = table.value
+                    total, share = _sums(list(batch["indices"]), factors[first:first + width], linear[first:first + width])
+                    yield pd.DataFrame({"id": batch["id"].astype("int64"), "vector": list(total), "share": share, "norm": np.sqrt((total * total).sum(axis=1))})
+
+        width = self.width
+        return rows.mapInPandas(sums, "id long, vector array<double>, share double, norm double")
+
+    def _met(self, users, items):
+        """(customer_id, candidate_good, margin): the best good of a block for each customer that meets it."""
+        table = self.table
+
+        def best(own, offered):
+            if not len(own) or not len(offered):
+                return pd.DataFrame({"customer_id": [], "candidate_good": [], "margin": []})
+            vectors, shares = np.stack(offered["vector"].to_numpy()), offered["share"].to_numpy()
+            ids, out = offered["id"].to_numpy(dtype=np.int64), []
+            for i in range(0, len(own), ROWS_PER_PRODUCT):
+                some = own.iloc[i:i + ROWS_PER_PRODUCT]
+                block = np.stack(some["vector"].to_numpy()) @ vectors.T + shares
+                top = block.max(axis=1)
+                # the least good of equals
+                pick = np.where(block == top[:, None], ids[None, :], np.iinfo(np.int64).max).min(axis=1)
+                out.append(pd.DataFrame({"customer_id": some["id"], "candidate_good": pick,
+                                         "margin": table.value[2] + some["share"].to_numpy() + top}))
+            return pd.concat(out)
+
+        users = users.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(self.parts)).cast("int"))
+        items = items.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(self.parts - 1))))
+        keys = ["block", "part"]
+        return users.groupBy(*keys).cogroup(items.groupBy(*keys)).applyInPandas(
+            best, "customer_id long, candidate_good long, margin double")
+
+    def _first(self):
+        return stored(self._met(self.users.withColumn("block", F.lit(0)), self.items.filter("block = 0")))
+
+    def _open(self, first):
+        """Customers with the further blocks whose bound reaches their best margin so far."""
+        listed = self.blocks.filter("block > 0").agg(F.collect_list(F.struct("block", "norm", "share", "n"))).scalar()
+        ahead = self.users.join(first.select(F.col("customer_id").alias("id"), "margin"), "id").withColumn("blocks", listed)
+        # far above what rounding can change
+        slack = 1e-6 + 1e-9 * F.abs("margin")
+        base = F.lit(float(self.table.value[2])) + F.col("share")
+        able = F.filter("blocks", lambda b: base + b["share"] + b["norm"] * F.col("norm") >= F.col("margin") - slack)
+        return ahead.withColumn("open", F.explode(able)).select("id", "vector", "share", "norm", "open.block", "open.n")
+
+    def best(self) -> DataFrame:
+        """(customer_id, candidate_good, probability)."""
+        first = self._first()
+        met = first.union(self._met(self._open(first).drop("n"), self.items.filter("block > 0")))
+        best_row = F.max(F.struct("margin", (-F.col("candidate_good")).alias("g")))
+        return met.groupBy("customer_id").agg(best_row.alias("b")).select(
+            "customer_id", (-F.col("b.g")).alias("candidate_good"), sigmoid(F.col("b.margin")).alias("probability"))
+
+    def pairs(self) -> DataFrame:
+        """(pairs, looked_at): all pairs of customers and goods, and how many of them were multiplied."""
+        first = self._first()
+        customers, goods = self.users.count(), self.items.count()
+        seed = self.items.filter("block = 0").count() * customers
+        return self._open(first).agg(
+            F.lit(customers * goods).alias("pairs"), (F.lit(seed) + F.coalesce(F.sum("n"), F.lit(0))).alias("looked_at"))
+
+
+def best_candidates(model: PipelineModel, customers: DataFrame, goods: DataFrame,
+                    goods_per_block=GOODS_PER_BLOCK) -> DataFrame:
+    """(customer_id, candidate_good, probability): the best good of the whole catalog for each customer, the same as
+    scoring all pairs and keeping the maximum; see ``CandidateSearch``."""
+    return CandidateSearch(model, customers, goods, goods_per_block).best()
 
 
 def recommend_buyers(lines: DataFrame, template: DataFrame, train_month: str, predict_month: str, ord_col,

@@ -1,6 +1,7 @@
 """Queries on sources, labels, static and window features, splits and encoding."""
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -9,10 +10,13 @@ from buycast.operators.encode import apply_codes, dense_ids, encode_each, fit_co
 from buycast.operators.profile import narrow_types
 from buycast.operators.static import agg_features
 from buycast.operators.windows import daily, pivot_daily, window_features
-from buycast.plans.features import build_splits, feature_set, single_cutoff_tables, slot_tables
+from buycast.plans.features import KEYS as KEYS_OF_FEATURES
+from buycast.plans.features import build_splits, feature_columns, feature_set, single_cutoff_tables, slot_tables
+from buycast.plans.increments import add_month, add_months
+from buycast.plans.increments import features_from_months as from_months
 from buycast.sources import (
-    events_as_orders, read_codes, read_customers, read_features, read_order_detail, rejected_lines, write_codes, write_csv,
-    write_features,
+    events_as_orders, read_codes, read_customers, read_families, read_features, read_order_detail, rejected_lines, write_bucketed,
+    write_codes, write_csv, write_features,
 )
 from contract.common import (
     FLOOR, KEY, ORIGIN, SCORING, SPLITS, TEST, TRAIN, VALIDATION, WEEKLY, cuts_sql, lines, plain, query, r, scratch, with_od,
@@ -271,6 +275,27 @@ def features_both(spark, sf):
     return plain(_features(spark, sf, "both"))
 
 
+@query(with_od("SELECT * FROM features", cuts_sql(SPLITS), *feature_sql_ctes("both")))
+def features_from_months(spark, sf):
+    """All features from monthly states: the past in one pass, then the last months one by one."""
+    root, rows = scratch(spark, "months"), lines(spark, sf)
+    add_months(rows, root, "1990-01", "2001-05", KEY)
+    for month in ("2001-06", "2001-07", "2001-08"):
+        add_month(rows, root, month, KEY)
+    return plain(from_months(spark, root, SPLITS, ord_col=KEY, floor=FLOOR, origin=ORIGIN))
+
+
+@query(with_od("SELECT * FROM features", cuts_sql(SPLITS), *feature_sql_ctes("both")))
+def features_of_bucketed_families(spark, sf):
+    """Both families, each kept in buckets of customers and joined in place."""
+    names = []
+    for method in ("agg", "time"):
+        names.append(f"family_{method}_{uuid.uuid4().hex}")
+        write_bucketed(_features(spark, sf, method), names[-1], scratch(spark, names[-1]), buckets=8)
+    both = read_families(spark, *names)
+    return plain(both.select(*KEYS_OF_FEATURES, *feature_columns("both"), "label"))
+
+
 def _label_only(rule_sql):
     return with_od(f"""SELECT p.split, p.customer_id, CASE WHEN p.has_label THEN CAST(EXISTS (
       SELECT 1 FROM {rule_sql}) AS BIGINT) END AS label FROM people p""",

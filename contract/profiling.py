@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from buycast.operators import profile as P
 from buycast.operators.windows import calendar
-from buycast.sources import events_as_orders
-from contract.common import lines, plain, query, r, with_od
+from buycast.sources import events_as_orders, read_logs
+from contract.common import lines, plain, query, r, scratch, with_od
 
 NUMERIC = [
     "order_id", "order_total_num", "order_amount", "order_total_payment", "order_total_discount", "order_status", "order_count",
@@ -26,10 +26,25 @@ def _each(columns, template, tail=""):
     return with_od(" UNION ALL ".join(template.format(c=c) for c in columns) + tail)
 
 
-@query(_each(ALL, """SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS non_null,
-  CAST(count(*) AS BIGINT) AS n_rows, CAST(29 AS BIGINT) AS n_columns FROM od"""))
+# The types of the order-line columns.
+_TYPES = {
+    "string": "order_detail_id customer_province customer_city",
+    "bigint": "order_id member_id customer_id goods_id goods_class_id",
+    "int": "order_status order_count is_customer_rate order_detail_status customer_gender member_status is_member_actived goods_status goods_has_discount",
+    "double": "order_total_num order_detail_goods_num",
+    "decimal(18,2)": "order_amount order_total_payment order_detail_amount goods_price",
+    "decimal(18,4)": "order_total_discount order_detail_payment order_detail_discount",
+    "timestamp_ntz": "order_pay_time",
+    "timestamp": "goods_list_time goods_delist_time",
+}
+_TYPE_OF = {c: kind for kind, columns in _TYPES.items() for c in columns.split()}
+
+
+@query(with_od(" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", '{_TYPE_OF[c]}' AS dtype, CAST(count({c}) AS BIGINT) AS non_null,
+  CAST(count(*) AS BIGINT) AS n_rows, CAST(29 AS BIGINT) AS n_columns FROM od""" for c in ALL)))
 def shape_and_counts(spark, sf):
-    return plain(P.profile_schema(lines(spark, sf, *ALL)).drop("dtype"))
+    return plain(P.profile_schema(lines(spark, sf, *ALL)))
 
 
 @query("SELECT * FROM (" .join(["", _each(ALL, f"""SELECT '{{c}}' AS "column",
@@ -212,3 +227,32 @@ def lines_per_calendar_day(spark, sf):
     per_day = rows.groupBy("day").agg(F.count("order_id").alias("n"))
     days = calendar(spark, "2001-07-01", "2001-08-05")
     return plain(days.join(per_day, "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("n")))
+
+
+_MONTHLY_SCORES = """SELECT o_orderstatus AS status, strftime(o_orderdate, '%Y-%m') AS month,
+  avg(CAST(o_totalprice AS DOUBLE)) / 1000000 AS score FROM orders GROUP BY 1, 2"""
+
+
+@query(f"""SELECT kind || '/' || status AS run, CAST(row_number() OVER (PARTITION BY kind, status ORDER BY month) AS BIGINT) AS iteration,
+  'auc' AS metric, round(score + 1e-9, 4) AS value FROM ({_MONTHLY_SCORES}), (SELECT unnest(['xgb', 'reg']) AS kind)""")
+def training_log_values(spark, sf):
+    """Monthly scores printed as two trainers print them, among other lines, and read back: a run per file, files of one
+    name in several folders."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    scores = orders.groupBy(F.col("o_orderstatus").alias("status"), F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(
+        F.round(F.avg(F.col("o_totalprice").cast("double")) / 1_000_000 + 1e-9, 4).alias("score"))
+    shown = F.format_string("%.4f", "score")
+    printed = {
+        "xgb": [F.concat(F.lit("[0]\tvalidation_0-auc:"), shown), F.lit("saved")],
+        "reg": [F.concat(F.lit("Iteration of "), "month"), F.concat(F.lit("  eval metric auc = "), shown)],
+    }
+    out = None
+    for kind, texts in printed.items():
+        path = scratch(spark, f"logs-{kind}")
+        rows = scores.select("status", "month", F.posexplode(F.array(*texts)).alias("place", "value"))
+        # a row per status and month: one file per status
+        rows.coalesce(1).sortWithinPartitions("status", "month", "place").select("status", "value").write.partitionBy("status").text(path)
+        read = read_logs(spark, path, kind)
+        one = read.withColumn("run", F.concat(F.lit(f"{kind}/"), F.regexp_extract("run", "status=([A-Z])/", 1)))
+        out = one if out is None else out.unionByName(one)
+    return out.select("run", F.col("iteration").cast("bigint").alias("iteration"), "metric", F.col("value"))

@@ -7,7 +7,7 @@ from buycast.operators import metrics as M
 from buycast.operators.encode import decode, dense_ids
 from buycast.operators.profile import top_rows
 from buycast.operators.sequences import (
-    candidates, catalog, encode_events, histories, negatives, sequence_samples, target_customers,
+    candidate_blocks, candidates, catalog, encode_events, histories, negatives, sequence_samples, target_customers,
 )
 from buycast.operators.submit import fill_template, flag_top_n, predicted_buyers, rollup_candidates
 from buycast.plans.features import feature_set
@@ -134,23 +134,33 @@ pairs AS (SELECT cust.idx AS customer_idx, coalesce(h.g, []) AS g, coalesce(h.c,
   FROM customer JOIN cust ON cust.v = c_custkey CROSS JOIN cat LEFT JOIN hist h ON h.customer_idx = cust.idx)"""]
 
 
-def _candidate_rows(spark, sf):
+def _candidate_blocks(spark, sf, build=candidate_blocks):
     events, codes = _events(spark, sf)
     listed = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("customer_id"))
-    return candidates(events, target_customers(listed, codes["customer"]), PREDICT_MONTH, KEY), codes
+    return build(events, target_customers(listed, codes["customer"]), PREDICT_MONTH, KEY), codes
 
 
 @query(with_od("""SELECT CAST(customer_idx AS BIGINT) AS customer_id, CAST(count(*) AS BIGINT) AS n,
   CAST(sum(goods_idx) AS BIGINT) AS goods_total, CAST(sum(class_idx) AS BIGINT) AS class_total,
   CAST(max(len(g)) AS BIGINT) AS history FROM pairs GROUP BY 1""", *_CANDIDATES))
 def candidate_sets(spark, sf):
-    rows, _ = _candidate_rows(spark, sf)
+    """Candidates of every customer, added up over the packed blocks."""
+    rows, _ = _candidate_blocks(spark, sf)
+    total = lambda name: F.sum(F.aggregate("entries", F.lit(0).cast("long"), lambda s, e: s + e[name]))
     return plain(rows.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("candidate_good").alias("goods_total"),
-        F.sum("candidate_class").alias("class_total"), F.max(F.size("history_goods")).alias("history"),
+        F.sum(F.size("entries")).alias("n"), total("good").alias("goods_total"), total("class").alias("class_total"),
+        F.max(F.size("history_goods")).alias("history"),
     ))
 
 
+@query(with_od("""SELECT CAST(goods_idx AS BIGINT) AS candidate_good, CAST(class_idx AS BIGINT) AS candidate_class, CAST(count(*) AS BIGINT) AS n,
+  CAST(sum(customer_idx) AS BIGINT) AS customer_total FROM pairs GROUP BY 1, 2""", *_CANDIDATES))
+def unpacked_candidates(spark, sf):
+    """The same candidates as rows, added up per good."""
+    rows, _ = _candidate_blocks(spark, sf, candidates)
+    return plain(rows.groupBy("candidate_good", "candidate_class").agg(F.count(F.lit(1)).alias("n"), F.sum("customer_id").alias("customer_total")))
+
+
 _BEST = """
 class_counts AS (SELECT customer_idx, class_idx, count(*) AS m FROM (
   SELECT customer_idx, unnest(c) AS class_idx FROM hist) GROUP BY 1, 2),
@@ -160,15 +170,16 @@ _SHARE = 0.15
 
 
 def _class_share(rows):
-    """Share of the candidate's class in the history, as a stand-in for a model score."""
-    same = F.size(F.filter("history_classes", lambda x: x == F.col("candidate_class")))
-    return rows.withColumn("probability", same / F.greatest(F.size("history_classes"), F.lit(1)))
+    """Largest share that the class of a block's candidate has in the history, as a stand-in for a model score."""
+    held = lambda e: F.size(F.filter("history_classes", lambda x: x == e["class"]))
+    same = F.array_max(F.transform("entries", held))
+    return rows.select("customer_id", (same / F.greatest(F.size("history_classes"), F.lit(1))).alias("probability"))
 
 
 @query(with_od(f"""SELECT v AS customer_id, {r('p')} AS probability, CAST(p > {_SHARE} AS BIGINT) AS result
   FROM best JOIN cust ON cust.idx = customer_idx""", *_CANDIDATES, _BEST))
 def best_candidate_per_customer(spark, sf):
-    rows, codes = _candidate_rows(spark, sf)
+    rows, codes = _candidate_blocks(spark, sf)
     rolled = rollup_candidates(_class_share(rows), _SHARE)
     named = decode(rolled, codes["customer"], "customer_id", "original")
     return plain(named.select(F.col("original").alias("customer_id"), "probability", "result"))

@@ -84,9 +84,12 @@ def test_best_candidates_equal_the_maximum_over_all_pairs(spark):
     scored = R.score_pairs(model, pairs)
     want = {r["customer_id"]: r["m"] for r in scored.groupBy("customer_id").agg(F.max("probability").alias("m")).collect()}
     by_pair = {(r["customer_id"], r["candidate_good"]): r["probability"] for r in scored.collect()}
-    for step in (65_536, 5):  # one block, and several
+    for step in (65_536, 5, 1):  # one block, and several
         got = by(R.best_candidates(model, customers, goods, goods_per_block=step), "customer_id")
         assert set(got) == set(want)
         for c, r in got.items():
             assert r["probability"] == pytest.approx(want[c], abs=1e-9)
             assert by_pair[c, r["candidate_good"]] == pytest.approx(want[c], abs=1e-9)
+    search = R.CandidateSearch(model, customers, goods, 2)
+    counted = search.pairs().first()
+    assert counted.pairs == 30 * 12 and 30 * 2 <= counted.looked_at <= counted.pairs
