@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from buycast.llm import centroids, lexical, parity_join
+from buycast.llm import centroids, lexical, parity_join, word_sets
 from buycast.llm.common import block_pieces
 
 
@@ -56,18 +56,22 @@ def test_links_of_odd_rows(repeated_rows, nobody):
     assert [(r.doc_id, r.component_id) for r in rows if r.n_shingles == 0] == [(None, None)]
 
 
+def keys_of(own, bands, levels):
+    return {int(k) for _, keys in parity_join.emitted(own, np.array([len(own)]), bands, levels) for k in keys}
+
+
 @pytest.mark.parametrize("ratio", [(80, 100), (1, 2), (95, 100)])
 def test_similar_sets_share_a_key_and_sketches_bound_their_difference(ratio):
     bands, rng = parity_join.Bands(ratio), np.random.default_rng(4)
     for size in [1, 2, 3, 4, 5, 6, 8, 9, 12, 13, 30, 41, 100, 333, 1000] * 6:
-        counts = rng.integers(0, 5, parity_join.COUNTERS)
-        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        levels = rng.integers(0, 5, parity_join.COUNTERS).astype(np.int8)
+        a = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
         most = bands.differ(len(a), bands.largest(len(a)))
         keep = rng.permutation(a)[rng.integers(0, most + 1):]
-        b = np.unique(np.concatenate([keep, rng.integers(0, 1 << 63, rng.integers(0, most + 1), dtype=np.uint64)]))
+        b = np.unique(np.concatenate([keep, rng.integers(0, 1 << 64, rng.integers(0, most + 1), dtype=np.uint64)]))
         both = len(np.intersect1d(a, b))
         if len(b) and ratio[1] * both >= ratio[0] * (len(a) + len(b) - both):
-            assert set(parity_join.emitted(a, bands, counts)) & set(parity_join.emitted(b, bands, counts))
+            assert keys_of(a, bands, levels) & keys_of(b, bands, levels)
         if len(b):
             x, y = parity_join.parity(a).tobytes(), parity_join.parity(b).tobytes()
             width = min(len(x), len(y)) // 8
@@ -75,14 +79,42 @@ def test_similar_sets_share_a_key_and_sketches_bound_their_difference(ratio):
             assert far <= len(a) + len(b) - 2 * both
 
 
+def test_keys_of_many_sets_are_those_of_each():
+    bands, rng = parity_join.Bands(), np.random.default_rng(5)
+    levels = rng.integers(0, 3, parity_join.COUNTERS).astype(np.int8)
+    sets = [np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64)) for n in (0, 1, 5, 0, 40, 7, 300, 2, 41)]
+    found = {}
+    for which, keys in parity_join.emitted(np.concatenate(sets), np.array([len(s) for s in sets]), bands, levels):
+        for w, k in zip(which, keys):
+            found.setdefault(int(w), set()).add(int(k))
+    assert found == {i: keys_of(s, bands, levels) for i, s in enumerate(sets) if len(s)}
+
+
+@pytest.mark.parametrize("part", [1 << 19, 40])
+def test_sets_of_texts_are_distinct_shingles(docs, monkeypatch, part):
+    monkeypatch.setattr(word_sets, "PART", part)
+    texts = [r.text for r in docs.select("text").collect()] + ["A b", "a B", "a b c d e", "A\tB\u00a0c", "a b\x85c", "é É", " x "]
+    elements, sizes = word_sets.sets_of(texts, 5)
+    ends, names = np.cumsum(sizes), {}
+    for text, a, b in zip(texts, ends - sizes, ends):
+        own = elements[a:b].tolist()
+        want = brute.shingle_set(text) if brute.words(text) else set()
+        assert own == sorted(set(own)) and len(own) == len(want)
+        key = frozenset(want)
+        assert names.setdefault(key, own) == own
+    assert len({tuple(v) for v in names.values()}) == len(names)
+    every = set().union(*names)
+    assert len(set(elements.tolist())) == len(every)
+
+
 def test_rows_of_a_key_meet_however_they_are_batched():
     rng = np.random.default_rng(6)
     rows = pd.DataFrame({"key": rng.integers(0, 40, 300), "node": rng.integers(0, 30, 300)})
-    rows["n"] = 5 + rows["node"] % 7
-    rows = rows.sort_values(["key", "n", "node"], ignore_index=True)[["key", "node", "n"]]
+    rows["n"], rows["like"] = 5 + rows["node"] % 7, rows["node"] % 7 // 3
+    rows = rows.sort_values(["key", "like", "node"], ignore_index=True)
     whole = pd.concat(parity_join._met([rows]), ignore_index=True)
     several = rows.drop_duplicates().groupby("key")["node"].transform("size") > 1
-    assert whole[["key", "node", "n"]].equals(rows.drop_duplicates()[several].reset_index(drop=True))
+    assert whole[["key", "node", "n"]].equals(rows.drop_duplicates()[several][["key", "node", "n"]].reset_index(drop=True))
     for size in (1, 2, 7):
         parts = [rows.iloc[i:i + size].reset_index(drop=True) for i in range(0, len(rows), size)]
         assert pd.concat(parity_join._met(parts), ignore_index=True).astype("int64").equals(whole.astype("int64"))
