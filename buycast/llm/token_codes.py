@@ -1,5 +1,6 @@
 """Token ids in files of directly addressable codes: any token is read without decoding a block."""
 
+import functools
 import struct
 import uuid
 import zlib
@@ -209,6 +210,12 @@ class Encoder:
             return b"".join(map(self.encoded, self.cut(text)))
 
 
+@functools.lru_cache(maxsize=1)
+def encoder(path):
+    """The encoder of this process: tasks that run in it one after the other share its tokenizer and what it remembers."""
+    return Encoder(path)
+
+
 def filesystem(uri):
     """The store a folder lies in, and the folder's path there."""
     from pyarrow import fs
@@ -231,7 +238,7 @@ def _writer(tokenizer, folder, end_id, file_tokens):
     def write(batches):
         store, path = filesystem(folder)
         store.create_dir(path, recursive=True)
-        encode, end = Encoder(tokenizer), struct.pack("<I", end_id)
+        encode, end = encoder(tokenizer), struct.pack("<I", end_id)
         held, size, seq, done = [], 0, 0, []
         for batch in batches:
             ids, texts = batch["doc_id"], batch["text"].tolist()
