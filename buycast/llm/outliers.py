@@ -81,23 +81,12 @@ def chi_square_cdf(p, x):
     return NormalDist().cdf(((x / p) ** (1 / 3) - 1 + c) / c ** 0.5)
 
 
-def grouped(rows, smallest):
-    """``rows`` with ``group``: language and source where at least ``smallest`` rows have both, else the rest of
-    the language, else the rest of all; null where even that is smaller. Null is a value like any other."""
+def levels(rows):
+    """``rows`` with ``groups``, the names of their language and source, of their language, and of all. Null is a value like any other."""
     def name(*columns):
         return F.to_json(F.array(*[F.coalesce(F.concat(F.lit("="), c), F.lit("")) for c in columns]))
 
-    pairs = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")).withColumn("small", F.col("n") < smallest)
-    of_lang = Window.partitionBy("lang", "small")
-    pairs = pairs.withColumn("left", F.sum("n").over(of_lang)).withColumn("tiny", F.col("small") & (F.col("left") < smallest))
-    pairs = pairs.withColumn("last", F.sum("n").over(Window.partitionBy("tiny")))
-    group = (
-        F.when(~F.col("small"), name("lang", "source")).when(~F.col("tiny"), name("lang"))
-        .when(F.col("last") >= smallest, F.lit("[]"))
-    )
-    named = pairs.select(F.col("lang").alias("lang_"), F.col("source").alias("source_"), group.alias("group"))
-    return rows.join(named, F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_"))).drop(
-        "lang_", "source_")
+    return rows.withColumn("groups", F.array(name("lang", "source"), name("lang"), F.lit("[]")))
 
 
 def _quartiles(rows, p, step=0.02):
@@ -188,24 +177,61 @@ def minimum_covariance(rows, p, floors, share=0.75, steps=8):
     return stored(_step(rows, shape, p, floors, inside, 0.975))
 
 
-def judged(docs, least_words=50, most_repeated=50, cut=1 - 1e-6, smallest=100, **options):
-    """doc_id, the statistics, base_failed, distance (squared Mahalanobis, null if not judged) and kept.
+def _leaning(found, p, weight):
+    """(group, centre, inverse) per pair of language and source: its estimate, leaning on that of its language, which leans on
+    that of all. An estimate from n rows counts n, the one it leans on ``weight``.
+
+    ``found`` has one row per pair: group, and for each level from the widest to the pair ``n``, ``centre`` and ``inverse``.
+    """
+    def lean(batches):
+        for batch in batches:
+            out = []
+            for group, estimates in zip(batch["group"], batch["estimates"]):
+                centre = covariance = None
+                for e in estimates:
+                    own = np.array(e["centre"]), np.linalg.inv(np.reshape(e["inverse"], (p, p)))
+                    share = 1.0 if centre is None else e["n"] / (e["n"] + weight)
+                    centre = own[0] if centre is None else share * own[0] + (1 - share) * centre
+                    covariance = own[1] if covariance is None else share * own[1] + (1 - share) * covariance
+                out.append((group, centre.tolist(), np.linalg.inv(covariance).ravel().tolist()))
+            yield pd.DataFrame(out, columns=["group", "centre", "inverse"])
+
+    return found.mapInPandas(lean, "group string, centre array<double>, inverse array<double>")
+
+
+def shapes_of(good, p, floors, weight=500, **options):
+    """(group, centre, inverse) for every pair of language and source of ``good`` (groups, x)."""
+    long = good.select(F.explode("groups").alias("group"), "x")
+    estimates = minimum_covariance(long, p, floors, **options).join(long.groupBy("group").agg(F.count(F.lit(1)).alias("n")), "group")
+    estimates = stored(estimates.select("group", F.struct("n", "centre", "inverse").alias("e")))
+    # one row per pair and level
+    pairs = good.select("groups").distinct().select(F.col("groups")[0].alias("pair"), F.posexplode("groups").alias("level", "group"))
+    found = pairs.join(estimates, "group").groupBy("pair").agg(
+        F.sort_array(F.collect_list(F.struct((-F.col("level")).alias("k"), "e"))).alias("l"))
+    return stored(_leaning(found.select(F.col("pair").alias("group"), F.transform("l", lambda x: x["e"]).alias("estimates")), p, weight))
+
+
+def judged(docs, least_words=50, most_repeated=50, cut=1 - 1e-6, weight=500, **options):
+    """doc_id, the statistics, base_failed, distance (squared Mahalanobis, null if the base rules fail) and kept.
 
     Texts with fewer than ``least_words`` words, or over ``most_repeated`` % of them in repeated windows,
-    fail the base rules and take no part in the estimates. The others are judged within their group
-    (see ``grouped``) and rejected beyond the ``cut`` quantile of the distance of a normal sample. Groups
-    of fewer than ``smallest`` such texts reject nothing. Null text has no words. Null languages and
-    sources are groups like others; doc_id may be null or repeated; other columns are not read.
+    fail the base rules and take no part in the estimates. Every other text is judged by the estimate for
+    its language and source and rejected beyond the ``cut`` quantile of the distance of a normal sample. Estimates
+    lean on that for the language, and those on that for all texts, as if ``weight`` of their rows came
+    from there: a pair with one text is judged by its language, one with thousands by itself, all by one formula.
+
+    Null text has no words. Null languages and sources are groups like others; doc_id may be null or
+    repeated, equal rows are judged alike; other columns are not read. A very long text is a row of
+    statistics like any other. An empty table gives no rows.
     """
     counted = stored(docs.select("doc_id", "lang", "source", text_stats()("text").alias("s")).select(
         "doc_id", "lang", "source", "s.*"))
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
-    good = stored(grouped(counted.filter(~failed).withColumn("x", F.array(*measures())), smallest))
+    good = stored(levels(counted.filter(~failed).withColumn("x", F.array(*measures()))))
     p = len(FLOORS)
-    shape = minimum_covariance(good.filter("group IS NOT NULL").select("group", "x"), p, FLOORS, **options)
-    far = good.join(shape, "group", "left").select("doc_id", *STATS, _distance(p).alias("distance"))
+    shape = shapes_of(good.select("groups", "x"), p, FLOORS, weight, **options)
+    far = good.withColumn("group", F.col("groups")[0]).join(shape, "group", "left").select("doc_id", *STATS, _distance(p).alias("distance"))
     bad = counted.filter(failed).select("doc_id", *STATS, F.lit(None).cast("double").alias("distance"))
     limit = chi_square(p, cut)
-    return far.withColumn("base_failed", F.lit(False)).withColumn(
-        "kept", F.coalesce(F.col("distance") <= limit, F.lit(True))
-    ).unionByName(bad.withColumn("base_failed", F.lit(True)).withColumn("kept", F.lit(False)))
+    return far.withColumn("base_failed", F.lit(False)).withColumn("kept", F.col("distance") <= limit).unionByName(
+        bad.withColumn("base_failed", F.lit(True)).withColumn("kept", F.lit(False)))

@@ -213,3 +213,51 @@ def search(texts, items, k=20):
                 scored.append((-s, d is None, d))
         out += [(item, i + 1, d, -s) for i, (s, _, d) in enumerate(sorted(scored)[:k])]
     return out
+
+
+def _estimate(xs, floors, share=0.75, steps=8, cell=0.02):
+    """(centre, covariance) of a list of vectors by concentration steps from medians and quartiles of binned values."""
+    import numpy as np
+
+    from buycast.llm.outliers import chi_square, chi_square_cdf
+
+    x, p, floor2 = np.array(xs), len(floors), np.diag(np.square(floors))
+    at = lambda q: np.array([(sorted(np.floor(c / cell))[math.ceil(q * len(c)) - 1] + 0.5) * cell for c in x.T])
+    centre, covariance = at(0.5), np.diag(((at(0.75) - at(0.25)) / 1.349) ** 2) + floor2
+    for step in range(steps + 1):
+        last = step == steps
+        d = x - centre
+        far = np.maximum(np.einsum("ij,jk,ik->i", d, np.linalg.inv(covariance), d), 0)
+        bins = np.floor(np.log2(far + 1) * 64)
+        order = sorted(set(bins))
+        upto = {b: (bins <= b).sum() for b in order}
+        if last:
+            limit = chi_square(p, 0.975)
+            b = next(b for b in order if 2 ** (b / 64) - 1 > limit or upto[b] == len(x))
+        else:
+            b = next(b for b in order if upto[b] >= math.ceil(share * len(x)))
+        own, q = d[bins <= b], 0.975 if last else share
+        mean = own.mean(axis=0)
+        covariance = (own.T @ own / len(own) - np.outer(mean, mean)) / (chi_square_cdf(p + 2, chi_square(p, q)) / q) + floor2
+        centre = centre + mean
+    return centre, covariance
+
+
+def judged(rows, floors, weight=500):
+    """{doc_id: squared distance} of rows (doc_id, stats, lang, source) that pass the base rules."""
+    import numpy as np
+
+    good = {d: (s, lang, source) for d, s, lang, source in rows if s[0] >= 50 and 100 * s[4] <= 50 * s[0]}
+    x = {d: [math.log(s[0]), math.log(s[1] / s[0]), *[math.log1p(100 * v / s[0]) for v in s[2:]]] for d, (s, _, _) in good.items()}
+    out = {}
+    for d, (_, lang, source) in good.items():
+        centre = covariance = None
+        for same in (lambda o: True, lambda o: o[1] == lang, lambda o: o[1:] == (lang, source)):
+            members = [x[o] for o, v in good.items() if same(v)]
+            c, s = _estimate(members, floors)
+            share = 1.0 if centre is None else len(members) / (len(members) + weight)
+            centre = c if centre is None else share * c + (1 - share) * centre
+            covariance = s if covariance is None else share * s + (1 - share) * covariance
+        far = np.array(x[d]) - centre
+        out[d] = float(far @ np.linalg.inv(covariance) @ far)
+    return out

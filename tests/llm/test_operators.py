@@ -154,7 +154,8 @@ def test_trigrams_of_letters():
 
 
 def test_text_statistics_and_outliers(docs, texts, labels):
-    got = by_id(outliers.judged(docs, smallest=40))  # below that a group rejects nothing
+    got = by_id(outliers.judged(docs))
+    assert all((r.distance is None) == r.base_failed for r in got.values())
     for d, text in texts.items():
         r, want = got[d], brute.stats(text)
         assert tuple(r[c] for c in outliers.STATS) == want
@@ -178,6 +179,24 @@ def test_minimum_covariance_ignores_a_quarter_of_outliers(spark):
     assert np.allclose(shape["flat"].centre, [1, 2], atol=0.02)
 
 
+def test_distances_and_verdicts_equal_brute_force(spark):
+    """Groups of few rows, among them one of a single row, by plain concentration steps on lists."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for lang, source, n in (("a", "s", 60), ("a", "t", 9), ("b", "s", 25), (None, "s", 1)):
+        for _ in range(n):
+            words = [f"{lang}{rng.integers(0, 400)}" for _ in range(rng.integers(50, 300))] + ["#$%"] * int(rng.integers(0, 3) ** 3)
+            rows.append((len(rows), " ".join(words) + "\n" * int(rng.integers(0, 2)), lang, source))
+    rows.append((len(rows), "### $$$ %%% " * 30 + " ".join(f"x{i}" for i in range(90)), "a", "t"))
+    got = by_id(outliers.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)))
+    want = brute.judged([(d, brute.stats(t), lang, source) for d, t, lang, source in rows], outliers.FLOORS)
+    limit = outliers.chi_square(len(outliers.FLOORS), 1 - 1e-6)
+    assert len(want) > 80 and {d for d, r in got.items() if not r.base_failed} == set(want)
+    for d, far in want.items():
+        assert got[d].distance == pytest.approx(far, rel=1e-6, abs=1e-6) and got[d].kept == (far <= limit)
+    assert sum(not got[d].kept for d in want) >= 1
+
+
 def test_mix(docs):
     rows = mixing.mix(docs).collect()
     sizes, taken, copies = defaultdict(int), defaultdict(int), {}
