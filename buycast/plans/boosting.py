@@ -61,23 +61,25 @@ def binned(df: DataFrame, features, cuts, label="label", base=0.0):
 
 
 class _Leaf:
-    """A node that may be split: its path, sums, histogram and best split."""
+    """A node that may be split: its sums, histogram and best split, what lies below it if that was looked at, and its
+    children once it is split."""
 
     def __init__(self, sums, depth):
         self.sums, self.depth = sums, depth  # gradients, hessians, rows
-        self.histogram = self.split = self.children = None
+        self.histogram = self.split = self.below = self.children = None
 
 
 class _Arrays:
-    """The split nodes below a root as arrays, each leaf with its place."""
+    """The nodes under a root, by their ``children`` or what is known ``below`` them, as arrays."""
 
-    def __init__(self, root):
-        self.leaves, nodes = [], [root]
+    def __init__(self, root, kind):
+        nodes = [root]
         rows = []
         for node in nodes:  # grows while it is read
-            if node.children:
+            under = getattr(node, kind)
+            if under:
                 rows.append((*node.split[1:4], len(nodes), len(nodes) + 1))
-                nodes += node.children
+                nodes += under
             else:
                 rows.append((-1, 0, False, 0, 0))
         self.nodes = nodes
@@ -184,57 +186,53 @@ class Growth:
     def grow(self, state, width, trees):
         """The root of one tree, its children set where it is split, and the split nodes in the order of their splits."""
         root = _Leaf(None, 0)
-        root.histogram = _histograms(state, width, trees, _Arrays(root), [0])[0]
+        root.histogram = _histograms(state, width, trees, _Arrays(root, "below"), [0])[0]
         root.sums = tuple(int(v) for v in root.histogram[0].sum(axis=0))
-        done, order, waiting = [], itertools.count(), []
+        done, order, waiting, ahead = [], itertools.count(), [], []
 
-        def offer(leaf):
+        def look(leaf):
             if leaf.histogram is not None and self.may_split(leaf):
                 leaf.split = self.best_split(leaf.histogram, leaf.sums)
                 if leaf.split:
-                    heapq.heappush(waiting, (-leaf.split[0] if self.leaves else leaf.depth, next(order), leaf))
+                    ahead.append(leaf)
+
+        def offer(leaf):
+            if leaf.split:
+                heapq.heappush(waiting, (-leaf.split[0] if self.leaves else leaf.depth, next(order), leaf))
 
+        look(root)
         offer(root)
-        known = {}  # children of leaves that were looked at ahead of their turn
         while waiting and (self.leaves is None or len(done) + 1 < self.leaves):
-            leaf = waiting[0][2]
-            left_over = None if self.leaves is None else self.leaves - len(done) - 1
-            if leaf not in known:
-                # one job for all leaves that may come next
-                ahead = [w[2] for w in sorted(waiting)[:left_over] if w[2] not in known]
-                self._divide(state, width, trees, root, ahead, known, last=left_over == 1)
+            leaf, left_over = waiting[0][2], None if self.leaves is None else self.leaves - len(done) - 1
+            if leaf.below is None:
+                # one job for the next leaf and all others that may follow, also below leaves not split yet
+                ahead.sort(key=lambda x: (x is not leaf, -x.split[0]))
+                some, ahead[:] = ahead[:left_over], [] if left_over is None else ahead[left_over:]
+                self._divide(state, width, trees, root, some, last=left_over == 1)
+                for node in some:
+                    for child in node.below:
+                        look(child)
             heapq.heappop(waiting)
-            leaf.children = known[leaf]
+            leaf.children = leaf.below
             done.append(leaf)
             for child in leaf.children:
                 offer(child)
         return root, done
 
-    def _divide(self, state, width, trees, root, ahead, known, last):
-        """Children of the leaves ``ahead``: of each pair the smaller is counted, the other is the difference."""
+    def _divide(self, state, width, trees, root, some, last):
+        """Set what lies below the nodes ``some``: of each pair the smaller is counted, the other is the difference."""
         counted = []
-        for leaf in ahead:
+        for leaf in some:
             left = leaf.split[4]
-            right = tuple(a - b for a, b in zip(leaf.sums, left))
-            known[leaf] = [_Leaf(left, leaf.depth + 1), _Leaf(right, leaf.depth + 1)]
-            if self.may_split(known[leaf][0]) and not last:
-                counted.append(min(known[leaf], key=lambda c: c.sums[2]))
-        if not counted:
-            return
-        chosen = {leaf: leaf.children for leaf in ahead}
-        for leaf in ahead:
-            leaf.children = known[leaf]
-        arrays = _Arrays(root)
-        place = {id(n): i for i, n in enumerate(arrays.nodes)}
-        found = _histograms(state, width, trees, arrays, [place[id(c)] for c in counted])
-        for leaf, children in chosen.items():
-            leaf.children = children
-        by_id = {id(c): h for c, h in zip(counted, found)}
-        for leaf in ahead:
-            small, large = sorted(known[leaf], key=lambda c: id(c) not in by_id)
-            if id(small) in by_id:
-                small.histogram = by_id[id(small)]
-                large.histogram = leaf.histogram - small.histogram
+            leaf.below = [_Leaf(left, leaf.depth + 1), _Leaf(tuple(a - b for a, b in zip(leaf.sums, left)), leaf.depth + 1)]
+            if self.may_split(leaf.below[0]) and not last:
+                counted.append((leaf, *sorted(leaf.below, key=lambda c: c.sums[2])))
+        if counted:
+            arrays = _Arrays(root, "below")
+            place = {id(n): i for i, n in enumerate(arrays.nodes)}
+            found = _histograms(state, width, trees, arrays, [place[id(small)] for _, small, _ in counted])
+            for (leaf, small, large), histogram in zip(counted, found):
+                small.histogram, large.histogram = histogram, leaf.histogram - histogram
 
 
 def _rows(growth, number, root, done, features, cuts, step):
@@ -287,7 +285,7 @@ def boost(train: DataFrame, features, rounds, step, growth: Growth, bins=255, la
         if root.sums[2] == 0:
             break
         nodes += _rows(growth, number, root, done, features, cuts, step)
-        arrays = _Arrays(root)
+        arrays = _Arrays(root, "children")
         recent.append((_Plain(arrays), np.array([0.0 if n.children else step * growth.weight(n.sums) for n in arrays.nodes])))
         if len(recent) == BLOCK or number == rounds - 1:
             if patience is not None and evaluation is not None:

@@ -128,6 +128,11 @@ def with_od(body, *ctes):
     return "WITH " + ",\n".join([OD.strip(), *[c.strip() for c in ctes]]) + "\n" + body.strip()
 
 
+def recursive(body, *ctes):
+    """``with_od`` for CTEs that may refer to themselves."""
+    return with_od(body, *ctes).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def cuts_sql(cutoffs, name="cuts"):
     rows = ", ".join(
         f"({i}, '{c.split}', DATE '{c.day}', {'true' if c.has_label else 'false'})" for i, c in enumerate(cutoffs))

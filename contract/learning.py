@@ -1,9 +1,9 @@
 """Queries that train and score models.
 
-What a model learns from real labels has no SQL counterpart, so those queries are checked by rows, and by
-tests on data with a known signal. Where SQL knows what a model must arrive at, it is checked: a label
-that follows from a feature is predicted for every customer, and a regression at its optimum balances
-the labels and the probabilities.
+Boosted trees are checked against SQL that grows the same trees, at the defaults and on all features. What the
+other models learn from real labels is checked by rows, and by tests on data with a known signal. Where SQL knows what
+a model must arrive at, that is checked: a label that follows from a feature is predicted for every customer, and a
+regression at its optimum balances the labels and the probabilities.
 """
 
 from pyspark.sql import functions as F
@@ -17,10 +17,12 @@ from buycast.plans.features import build_splits, feature_columns
 from buycast.runtime import stored
 from buycast.sources import load_model, save_model
 from contract.common import (
-    FLOOR, KEY, ORIGIN, PREDICT_MONTH, SPLITS, TEST_MONTH, TOP_N, TRAIN_MONTH, cuts_sql, lines, plain, query, scratch, with_od,
+    FLOOR, KEY, ORIGIN, PREDICT_MONTH, SPLITS, TEST_MONTH, TOP_N, TRAIN_MONTH, cuts_sql, lines, plain, query, r, recursive, rounded, scratch,
+    with_od,
 )
 from contract.sql_features import feature_sql_ctes
 from contract.scoring import DAILY_COLUMNS, EVENT_COLUMNS
+from contract.sql_trees import routed_ctes, tree_ctes
 
 TIME = feature_columns("time")
 
@@ -31,9 +33,21 @@ def _splits(spark, sf, method="time"):
     return {name: stored(table) for name, table in tables.items()}
 
 
+def _rounded_splits(spark, sf):
+    """The same numbers as in the SQL, so that both engines grow trees from them."""
+    return {name: t.withColumns({c: rounded(F.col(c).cast("double")) for c in TIME}) for name, t in _splits(spark, sf).items()}
+
+
+_GROWTH = {k: v for k, v in L.DEFAULTS["xgb"].items() if k in ("step", "alpha", "lam", "min_weight")}
+_GROWN_SQL = (cuts_sql(SPLITS), *feature_sql_ctes("time"), *[
+    f"{split} AS MATERIALIZED (SELECT customer_id, label, {', '.join(TIME)} FROM features WHERE split = '{split}')"
+    for split in ("train", "validation", "test")],
+    *tree_ctes("train", TIME, L.DEFAULTS["xgb"]["rounds"], L.DEFAULTS["xgb"]["max_depth"], **_GROWTH))
+
+
 def _scores(spark, sf, name):
     """Trained on the train split; the buyers it writes for the test split, with the scores of the stored model."""
-    splits = _splits(spark, sf)
+    splits = _rounded_splits(spark, sf)
     path, buyers = scratch(spark, f"model-{name}"), scratch(spark, f"buyers-{name}")
     save_model(L.submit(name, splits, TIME, buyers, TOP_N), path)
     scored = L.score(load_model(path), splits["test"])
@@ -46,9 +60,12 @@ def buyers_by_logistic_regression(spark, sf):
     return _scores(spark, sf, "reg")
 
 
-@query()
+@query(recursive(f"""SELECT customer_id, {r('score')} AS score,
+  CAST(row_number() OVER (ORDER BY score DESC, customer_id) <= {TOP_N} AS BIGINT) AS result
+FROM (SELECT customer_id, 1 / (1 + exp(-list_sum(list(value ORDER BY tree)))) AS score FROM steps_of GROUP BY customer_id)""",
+                 *_GROWN_SQL, *routed_ctes("test", TIME)))
 def buyers_by_boosted_trees(spark, sf):
-    return _scores(spark, sf, "xgb")
+    return plain(_scores(spark, sf, "xgb"))
 
 
 @query()
@@ -71,29 +88,32 @@ def validation_metrics_of_models(spark, sf):
     return out
 
 
-@query()
+@query(with_od(f"""SELECT feature, {r('sum(gain) / (SELECT sum(gain) FROM nodes)')} AS importance FROM nodes WHERE feature IS NOT NULL
+  GROUP BY feature ORDER BY sum(gain) DESC, feature LIMIT 10""", *_GROWN_SQL))
 def top_feature_importances(spark, sf):
-    splits = _splits(spark, sf)
-    model = L.fit("xgb", splits["train"], TIME)
-    return L.importances(model, spark, top=10)
+    model = L.fit("xgb", _rounded_splits(spark, sf)["train"], TIME)
+    return plain(L.importances(model, spark, top=10))
 
 
-@query()
+@query(recursive(f"""SELECT 'trees' AS run, CAST(iteration AS BIGINT) AS iteration, 'loss' AS metric,
+  {r('avg(greatest(margin, 0) - margin * label + ln(1 + exp(-abs(margin))))')} AS value
+FROM (SELECT s.tree + 1 AS iteration, v.label, sum(s.value) OVER (PARTITION BY s.customer_id ORDER BY s.tree) AS margin
+  FROM steps_of s JOIN validation v USING (customer_id)) GROUP BY iteration""", *_GROWN_SQL, *routed_ctes("validation", TIME)))
 def loss_per_boosting_round(spark, sf):
-    splits = _splits(spark, sf)
-    model = L.fit("xgb", splits["train"], TIME)
-    return L.loss_per_round(model, splits["validation"])
+    splits = _rounded_splits(spark, sf)
+    return plain(L.loss_per_round(L.fit("xgb", splits["train"], TIME), splits["validation"]))
 
 
 @query()
 def feature_set_comparison(spark, sf):
-    """AUC curves of four models on three feature sets, side by side; gradient descent takes 50 steps."""
+    """AUC curves of four models on three feature sets, side by side; trees take 10 rounds, gradient descent 50 steps."""
     tables, features = {}, {}
     for method in ("agg", "time", "both"):
         splits = _splits(spark, sf, method)
         tables[method] = (splits["train"], splits["validation"])
         features[method] = feature_columns(method)
-    return compare_runs(L.compare_feature_sets(tables, ("gd", "xgb", "lgb", "mlp"), features, steps=(100,), params={"gd": {"steps": 50}}))
+    params = {"gd": {"steps": 50}, "xgb": {"rounds": 10}, "lgb": {"rounds": 10}}
+    return compare_runs(L.compare_feature_sets(tables, ("gd", "xgb", "lgb", "mlp"), features, steps=(100,), params=params))
 
 
 @query()

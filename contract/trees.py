@@ -9,7 +9,7 @@ from buycast.plans import regression as R
 from buycast.plans.features import build_splits
 from buycast.runtime import stored
 from buycast.sources import load_model, save_model
-from contract.common import FLOOR, KEY, ORIGIN, SPLITS, cuts_sql, lines, plain, query, r, rounded, scratch, with_od
+from contract.common import FLOOR, KEY, ORIGIN, SPLITS, cuts_sql, lines, plain, query, r, recursive, rounded, scratch, with_od
 from contract.scoring import DAILY_COLUMNS
 from contract.sql_features import feature_sql_ctes
 from contract.sql_trees import descent_ctes, routed_ctes, tree_ctes
@@ -43,10 +43,6 @@ _NODES_SQL = f"""SELECT CAST(tree AS BIGINT) AS tree, CAST(node AS BIGINT) AS no
   CAST(n AS BIGINT) AS n FROM nodes"""
 
 
-def recursive(body, *ctes):
-    return with_od(body, *ctes).replace("WITH ", "WITH RECURSIVE ", 1)
-
-
 @query(with_od(_NODES_SQL, *_LEVEL_SQL))
 def boosted_tree_nodes(spark, sf):
     """Two rounds of depth 2: splits, gains and leaf values with L1 and L2 terms and a least hessian."""
