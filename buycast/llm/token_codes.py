@@ -1,6 +1,7 @@
 """Token ids in files of directly addressable codes: any token is read without decoding a block."""
 
 import functools
+import operator
 import struct
 import uuid
 import zlib
@@ -26,6 +27,8 @@ MAGIC, VERSION = b"DACS", 1
 HEAD = "<4sIQQQ"
 RANK_BYTES = 64  # continuation bits are counted in blocks of so many bytes
 
+PACKS = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
 
 def _level(values):
     """Chunks of ``values``, whether each goes on, and what goes on."""
@@ -149,7 +152,7 @@ class Encoder:
     that are encoded on their own; most pieces of a text have been met before.
     """
 
-    def __init__(self, path, limit=200_000):
+    def __init__(self, path, limit=300_000):
         import os
         import re
 
@@ -170,12 +173,13 @@ class Encoder:
         # white space of other kinds does not end a piece
         self.cut = re.compile(r"\s*\S+(?:[^\S \n\t\r]\s*\S*)*|\s+").findall
         self.spaced = Recent(limit)
+        self.id_of = operator.attrgetter("id")
         self.spaced.make = self._spaced
         self.parts.make = self._part
 
     def _part(self, part):
-        ids = [t.id for t in self.model(part)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        ids = list(map(self.id_of, self.model(part)))
+        return PACKS[len(ids)](*ids) if len(ids) < len(PACKS) else struct.pack(f"<{len(ids)}I", *ids)
 
     def _spaced(self, word):
         """Codes of a piece that follows a space, or starts with a line break."""
@@ -184,10 +188,10 @@ class Encoder:
         # Latin letters, with at most one other sign behind them, need no pattern
         if word.isascii() or max(word) < "\u0250":
             letters = word if word.isalpha() else word[:-1] if word[:-1].isalpha() and word[-1] in ".,;:!?|" else ""
+            if letters is word:
+                return self._part(self.space + (word if word.isascii() else word.encode().decode("latin-1").translate(self.signs)))
             if letters:
-                signs = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.signs)
-                code = self.parts[self.space + signs]
-                return code if letters is word else code + self.parts[word[-1]]
+                return self.spaced[letters] + self.parts[word[-1]]
         return self.encoded(word if word[0] == "\n" else " " + word)
 
     def encoded(self, piece):
