@@ -182,7 +182,8 @@ def compare_feature_sets(tables, models=("reg", "xgb"), features=None, steps=(1,
 
 
 def importances(model: TreeModel, spark, top=10, kind="gain") -> DataFrame:
-    """(feature, importance) of boosted trees, highest first: the share of the ``gain``, or the number of ``splits``."""
+    """(feature, importance) of boosted trees, highest first, those without a split 0: the share of the ``gain``, or
+    the number of ``splits``."""
     table = split_importances(model.node_table(spark))
     unused = spark.createDataFrame([(f,) for f in model.features], "feature string")
     value = F.col(kind) if kind == "splits" else F.col(kind) / table.agg(F.sum(kind)).scalar()

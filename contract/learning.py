@@ -88,8 +88,10 @@ def validation_metrics_of_models(spark, sf):
     return out
 
 
-@query(with_od(f"""SELECT feature, {r('sum(gain) / (SELECT sum(gain) FROM nodes)')} AS importance FROM nodes WHERE feature IS NOT NULL
-  GROUP BY feature ORDER BY sum(gain) DESC, feature LIMIT 10""", *_GROWN_SQL))
+@query(with_od(f"""SELECT feature, {r('coalesce(gain, 0) / (SELECT sum(gain) FROM nodes)')} AS importance
+  FROM (SELECT unnest([{', '.join(f"'{c}'" for c in TIME)}]) AS feature) LEFT JOIN (
+    SELECT feature, sum(gain) AS gain FROM nodes WHERE feature IS NOT NULL GROUP BY feature) USING (feature)
+  ORDER BY coalesce(gain, 0) DESC, feature LIMIT 10""", *_GROWN_SQL))
 def top_feature_importances(spark, sf):
     model = L.fit("xgb", _rounded_splits(spark, sf)["train"], TIME)
     return plain(L.importances(model, spark, top=10))
