@@ -24,6 +24,8 @@ from contract.sql_features import feature_sql_ctes
 from contract.scoring import DAILY_COLUMNS, EVENT_COLUMNS
 from contract.sql_trees import routed_ctes, tree_ctes
 
+# Fewer steps than the defaults where a query would take minutes on small tables.
+FEWER = {"mlp": {"maxIter": 30}, "fm": {"factorSize": 8, "maxIter": 10, "numFeatures": 1 << 12}}
 TIME = feature_columns("time")
 
 
@@ -49,7 +51,7 @@ def _scores(spark, sf, name):
     """Trained on the train split; the buyers it writes for the test split, with the scores of the stored model."""
     splits = _rounded_splits(spark, sf)
     path, buyers = scratch(spark, f"model-{name}"), scratch(spark, f"buyers-{name}")
-    save_model(L.submit(name, splits, TIME, buyers, TOP_N), path)
+    save_model(L.submit(name, splits, TIME, buyers, TOP_N, FEWER.get(name)), path)
     scored = L.score(load_model(path), splits["test"])
     written = spark.read.schema("customer_id long, score double, result int").option("header", True).csv(buyers)
     return flag_top_n(scored, n=TOP_N).select("customer_id", "score").join(written.drop("score"), "customer_id")
@@ -82,7 +84,7 @@ def buyers_by_perceptron(spark, sf):
 def validation_metrics_of_models(spark, sf):
     splits, out = _splits(spark, sf), None
     for name in ("reg", "xgb", "lgb", "mlp"):
-        one = L.evaluate(L.fit(name, splits["train"], TIME), splits["validation"])
+        one = L.evaluate(L.fit(name, splits["train"], TIME, FEWER.get(name)), splits["validation"])
         one = one.withColumn("model", F.lit(name))
         out = one if out is None else out.unionByName(one)
     return out
@@ -108,21 +110,21 @@ def loss_per_boosting_round(spark, sf):
 
 @query()
 def feature_set_comparison(spark, sf):
-    """AUC curves of four models on three feature sets, side by side; trees take 10 rounds, gradient descent 50 steps."""
+    """AUC curves of four models on three feature sets, side by side; trees take 5 rounds, gradient descent 20 steps."""
     tables, features = {}, {}
     for method in ("agg", "time", "both"):
         splits = _splits(spark, sf, method)
         tables[method] = (splits["train"], splits["validation"])
         features[method] = feature_columns(method)
-    params = {"gd": {"steps": 50}, "xgb": {"rounds": 10}, "lgb": {"rounds": 10}}
-    return compare_runs(L.compare_feature_sets(tables, ("gd", "xgb", "lgb", "mlp"), features, steps=(100,), params=params))
+    params = {"gd": {"steps": 20}, "xgb": {"rounds": 5}, "lgb": {"rounds": 5}}
+    return compare_runs(L.compare_feature_sets(tables, ("gd", "xgb", "lgb", "mlp"), features, steps=(30,), params=params))
 
 
 @query()
 def recommender_scores_of_test_month(spark, sf):
     """Metrics of the factorisation model, trained on one month, on the samples of the next."""
     events, _ = encode_events(lines(spark, sf, *EVENT_COLUMNS), KEY)
-    model = R.fit_recommender(stored(sequence_samples(events, TRAIN_MONTH, KEY)))
+    model = R.fit_recommender(stored(sequence_samples(events, TRAIN_MONTH, KEY)), FEWER["fm"])
     samples = R.item_tokens(R.user_tokens(sequence_samples(events, TEST_MONTH, KEY)))
     return L.evaluate(model, samples)
 
@@ -131,7 +133,7 @@ def recommender_scores_of_test_month(spark, sf):
 def buyers_by_recommender(spark, sf):
     """Best good of the whole catalog for every listed customer, as a buyer list."""
     listed = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("customer_id"))
-    return R.recommend_buyers(lines(spark, sf, *EVENT_COLUMNS), listed, TRAIN_MONTH, PREDICT_MONTH, KEY)
+    return R.recommend_buyers(lines(spark, sf, *EVENT_COLUMNS), listed, TRAIN_MONTH, PREDICT_MONTH, KEY, FEWER["fm"])
 
 
 # A label that follows from the first of these features: did the customer pay for anything in the last 91 days?
