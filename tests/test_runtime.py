@@ -1,6 +1,7 @@
 import random
+import threading
 
-from buycast.runtime import global_index, running_totals, top_k_per_key
+from buycast.runtime import ROWS_PER_TASK, dealt, global_index, running_totals, side_by_side, top_k_per_key
 from pyspark.sql import functions as F
 
 
@@ -36,3 +37,20 @@ def test_limit_runs_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 5).alias("k"), "id")
     plan = top_k_per_key(df, ["k"], [F.desc("id")], 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.split("Initial Plan")[0].count("WindowGroupLimit") == 2  # partial and final
+
+
+def test_side_by_side_keeps_the_order_and_runs_at_the_same_time(spark):
+    met = threading.Barrier(2, timeout=60)
+
+    def call(n):
+        met.wait()  # only passes if both run
+        return spark.range(n).count()
+
+    assert side_by_side([lambda: call(3), lambda: call(5)]) == [3, 5]
+
+
+def test_dealt_spreads_rows_by_their_number(spark):
+    few, many = spark.range(0, 500, 1, 1), spark.range(0, 4 * ROWS_PER_TASK, 1, 1)
+    assert dealt(few).rdd.getNumPartitions() == 1
+    sizes = [len(part) for part in dealt(many).rdd.glom().collect()]
+    assert len(sizes) == 4 and sum(sizes) == 4 * ROWS_PER_TASK and max(sizes) < 1.1 * ROWS_PER_TASK

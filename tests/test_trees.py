@@ -169,3 +169,10 @@ def test_gradient_steps(make):
     curve = {r.iteration: r.auc for r in model.staged_auc(make(rows)).collect()}
     assert set(curve) == {10, 20, 30}
     assert curve[30] == pytest.approx(L.evaluate(model, make(rows)).first().auc)
+
+
+def test_training_rows_are_dealt_over_tasks(spark):
+    rows = spark.range(0, 60_000, 1, 1).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 2).cast("int").alias("label"))
+    state = B.binned(rows, ["a"], B.cut_points(rows, ["a"]))
+    assert state.rdd.getNumPartitions() > 1 and state.count() == 60_000
+    assert state.groupBy("codes").count().count() == 7
