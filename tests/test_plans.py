@@ -53,3 +53,21 @@ def test_lines_are_shuffled_once_for_all_cutoffs(spark):
     shuffles = re.findall(r"Exchange hashpartitioning\(customer_id#\d+L, (?:period|\d)", text)
     assert len(shuffles) == 2  # partial states by (customer, period, pattern), then by customer
     assert len(re.findall(r"FileScan parquet .*lineitem.parquet", text)) == 2  # lines, and their per-order sums
+
+
+def test_single_cutoff_tables_read_the_lines_once(spark, make_lines):
+    from buycast.plans.features import single_cutoff_tables
+
+    read = spark.sparkContext.accumulator(0)
+    rows = make_lines(*[{"customer_id": c, "order_id": c * 10 + i, "goods_id": i, "order_pay_time": t, "order_total_payment": 5}
+                        for c in (1, 2, 3) for i, t in enumerate(("2013-05-01", "2013-06-02", None)[c - 1:])])
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    train, test = single_cutoff_tables(rows.mapInPandas(counted, rows.schema), "2013-05-31")
+    assert {(r.customer_id, r.label, r.order_detail_count) for r in train.collect()} == {(1, 1, 1.0)}
+    assert {(r.customer_id, r.order_detail_count) for r in test.collect()} == {(1, 3.0), (2, 2.0), (3, 1.0)}
+    assert read.value == 6
