@@ -1,6 +1,7 @@
 """Token ids in files of directly addressable codes: any token is read without decoding a block."""
 
 import functools
+import itertools
 import operator
 import struct
 import uuid
@@ -8,6 +9,8 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -17,6 +20,8 @@ from buycast.runtime import checkpoint_dir
 
 #: Tokens of a file to aim at. A file holds whole documents, so a longer document makes a longer file.
 FILE_TOKENS = 1 << 22
+#: Bytes of texts that a task encodes at a time, about; a longer text is encoded on its own.
+CHUNK_BYTES = 16 << 20
 
 # Fixed values of the file format. All numbers are little-endian.
 #   magic, version, documents, tokens, levels
@@ -138,11 +143,14 @@ class Recent(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.limit:
+        self.hold(key, value)
+        return value
+
+    def hold(self, key, value):
+        if len(self) >= self.limit and key not in self:
             self.old = dict(self)
             self.clear()
         self[key] = value
-        return value
 
 
 class Encoder:
@@ -152,7 +160,7 @@ class Encoder:
     that are encoded on their own; most pieces of a text have been met before.
     """
 
-    def __init__(self, path, limit=300_000):
+    def __init__(self, path, limit=200_000):
         import os
         import re
 
@@ -191,7 +199,7 @@ class Encoder:
             if letters is word:
                 return self._part(self.space + (word if word.isascii() else word.encode().decode("latin-1").translate(self.signs)))
             if letters:
-                return self.spaced[letters] + self.parts[word[-1]]
+                return (self.spaced.get(letters) or self._spaced(letters)) + self.parts[word[-1]]
         return self.encoded(word if word[0] == "\n" else " " + word)
 
     def encoded(self, piece):
@@ -213,6 +221,50 @@ class Encoder:
         except KeyError:
             return b"".join(map(self.encoded, self.cut(text)))
 
+    def _codes(self, words, counts):
+        """Codes of distinct words that follow a space or start with a line break; None where the next would not start a
+        pre-token, and anything where the count is 0."""
+        known, older = self.spaced.get, self.spaced.old.get
+        codes = [known(word) or older(word) for word in words]
+        for i, code in enumerate(codes):
+            if counts[i] and (code is None or counts[i] > 1) and words[i] and not words[i][-1].isspace():
+                codes[i] = code or self._spaced(words[i])
+                if counts[i] > 1:  # most words that come once do not come again
+                    self.spaced.hold(words[i], codes[i])
+        return codes
+
+    def all(self, texts):
+        """The ids of each of an Arrow array of texts, as for one text. Each distinct word is looked up once."""
+        words = pc.split_pattern(pc.replace_substring(texts.fill_null(""), pattern="\n", replacement=" \n"), pattern=" ")
+        starts = words.offsets.to_numpy()
+        words = words.values.slice(starts[0], starts[-1] - starts[0]).dictionary_encode()
+        starts = starts - starts[0]
+        lead, places = words.take(pa.array(starts[:-1])).to_pylist(), words.indices.to_numpy()
+        # a text's first word follows no space; it is encoded apart
+        later = np.ones(len(places), dtype=bool)
+        later[starts[:-1]] = False
+        counts = np.bincount(places[later], minlength=len(words.dictionary))
+        codes = self._codes(words.dictionary.to_pylist(), counts.tolist())
+        odd = np.array([code is None for code in codes], dtype=bool)
+        found = pa.array(codes, pa.large_binary()).take(words.indices)
+        data, ends = found.buffers()[2], np.frombuffer(found.buffers()[1], dtype=np.int64)[found.offset:found.offset + len(found) + 1]
+        whole = np.add.reduceat(odd[places] & later, starts[:-1]) > 0
+        for i, first in enumerate(lead):
+            if not first and starts[i + 1] - starts[i] == 1:
+                yield b""
+            elif whole[i] or first[-1:].isspace():
+                yield self(texts[i].as_py())
+            else:
+                low, high = ends[starts[i] + 1], ends[starts[i + 1]]
+                yield (self.encoded(first) if first else b"") + (data[low:high].to_pybytes() if high > low else b"")
+
+
+def chunks(texts, most):
+    """An Arrow array of texts in slices of about ``most`` bytes."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // most
+    edges = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(texts)]
+    return [texts.slice(a, b - a) for a, b in zip(edges, edges[1:]) if b > a]
+
 
 @functools.lru_cache(maxsize=1)
 def encoder(path):
@@ -229,6 +281,10 @@ def filesystem(uri):
     return fs.FileSystem.from_uri(uri)
 
 
+MANIFEST = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("path", pa.string()), *[
+    (name, pa.int64()) for name in ("n_docs", "n_tokens", "n_bytes", "crc")]])
+
+
 def _writer(tokenizer, folder, end_id, file_tokens):
     def flush(store, path, held, seq):
         ids = np.frombuffer(b"".join(h[2] for h in held), dtype="<u4")
@@ -245,11 +301,11 @@ def _writer(tokenizer, folder, end_id, file_tokens):
         encode, end = encoder(tokenizer), struct.pack("<I", end_id)
         held, size, seq, done = [], 0, 0, []
         for batch in batches:
-            ids, texts = batch["doc_id"], batch["text"].tolist()
-            nulls = ids.isna().tolist()
-            ids = ids.fillna(0).astype("int64").tolist()
-            for i, text in enumerate(texts):
-                code = encode(text) + end
+            ids = batch.column("doc_id")
+            nulls, ids = ids.is_null().to_pylist(), ids.cast("int64").fill_null(0).to_pylist()
+            codes = itertools.chain.from_iterable(map(encode.all, chunks(batch.column("text"), CHUNK_BYTES)))
+            for i, code in enumerate(codes):
+                code += end
                 held.append((ids[i], nulls[i], code))
                 size += len(code) // 4
                 if size >= file_tokens:
@@ -257,7 +313,7 @@ def _writer(tokenizer, folder, end_id, file_tokens):
                     held, size, seq = [], 0, seq + 1
         if held:
             done.append(flush(store, path, held, seq))
-        yield pd.DataFrame(done, columns=["part", "seq", "path", "n_docs", "n_tokens", "n_bytes", "crc"])
+        yield pa.RecordBatch.from_pylist([dict(zip(MANIFEST.names, row)) for row in done], MANIFEST)
 
     return write
 
@@ -281,7 +337,7 @@ def write_tokens(docs, tokenizer, folder=None, end_id=0, file_tokens=FILE_TOKENS
         .repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order).select("doc_id", "text")
     )
     schema = "part int, seq int, path string, n_docs long, n_tokens long, n_bytes long, crc long"
-    manifest = stored(placed.mapInPandas(_writer(tokenizer, folder, end_id, file_tokens), schema))
+    manifest = stored(placed.mapInArrow(_writer(tokenizer, folder, end_id, file_tokens), schema))
     # one row per part first, then files within each part: no window sees more than that
     parts = manifest.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

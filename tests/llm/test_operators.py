@@ -301,3 +301,14 @@ def test_cut_of_largest(spark):
     values = [5, 5, 5, -7, 1 << 50, -(1 << 50), 0]
     table = spark.createDataFrame([(v,) for v in values], "key long")
     assert [quality.cut_of_largest(table, k) for k in range(1, 8)] == sorted(values, reverse=True)
+
+
+def test_a_batch_of_texts_is_encoded_as_one_by_one():
+    import pyarrow as pa
+
+    encode = token_codes.Encoder(tokenizer_path(), limit=8)
+    texts = ["left out", None, "", " ", "one two, two. two", "two\n\nthree  four ", "\nwas\u3000bé one", "<|endoftext|> one x<|endoftext|>", "one", "left out"]
+    batch = pa.array(texts).slice(1, len(texts) - 2)
+    assert list(encode.all(batch)) == [encode(text) for text in texts[1:-1]]
+    parts = token_codes.chunks(batch, 20)
+    assert len(parts) > 1 and [t for p in parts for t in p.to_pylist()] == texts[1:-1]
