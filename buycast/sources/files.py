@@ -32,8 +32,8 @@ def _by_name(spark, path, schema, required, options, extra=()):
     return raw.select(*extra, *[_typed(f).alias(f.name) for f in fields])
 
 
-def _parsed(f):
-    text = F.trim(F.col(f.name))
+def _parsed(f, value=None):
+    text = F.trim(F.col(f.name) if value is None else value)
     if isinstance(f.dataType, (T.IntegerType, T.LongType)):
         # whole numbers may be written as "3.0" when the column had nulls; other fractions do not parse
         exact = text.try_cast(T.DecimalType(38, 10))
@@ -47,10 +47,14 @@ def _is_bad(f):
 
 
 def _typed(f):
+    text = F.trim(F.col(f.name))
     if isinstance(f.dataType, T.StringType):
-        return F.trim(F.col(f.name))
+        return text
     complaint = F.raise_error(F.concat(F.lit(f"{f.name}: "), F.col(f.name), F.lit(" does not parse")))
-    return F.when(_is_bad(f), complaint.cast(f.dataType)).otherwise(_parsed(f))
+    # Values that a plain cast does not read are rare. Their path is a lambda, which Spark interprets: with that of every
+    # column in it, the generated code of a line would be too long for the JVM to compile.
+    rare = F.transform(F.array(F.col(f.name)), lambda c: F.coalesce(_parsed(f, c), complaint.cast(f.dataType)))
+    return F.coalesce(text.try_cast(f.dataType), F.when(text != "", F.get(rare, F.lit(0))))
 
 
 def rejected_lines(spark: SparkSession, path: str, schema=ORDER_DETAIL, **options) -> DataFrame:

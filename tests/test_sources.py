@@ -1,5 +1,6 @@
 import datetime as dt
 import glob
+import re
 
 import pytest
 
@@ -8,7 +9,9 @@ from buycast.sources import (
     read_codes, read_customers, read_features, read_logs, read_order_detail, write_candidates, write_codes, write_csv,
     write_features,
 )
+from buycast.sources.schemas import ORDER_DETAIL, TIME_COLUMNS
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def test_order_csv_by_name_with_bad_times(spark, tmp_path):
@@ -23,6 +26,25 @@ def test_order_csv_by_name_with_bad_times(spark, tmp_path):
         read_order_detail(spark, str(tmp_path), strict_times=True).collect()
 
 
+def test_wide_csv_lines_are_typed_by_compiled_code(spark, tmp_path):
+    """The JVM compiles no method of over 8,000 bytes; odd numbers take the interpreted path."""
+    names = [f.name for f in ORDER_DETAIL.fields]
+    number = [f.name for f in ORDER_DETAIL.fields if f.name not in TIME_COLUMNS and f.dataType != T.StringType()]
+    line = {**dict.fromkeys(names, ""), **dict.fromkeys(number, " 3.0 "), "order_pay_time": "2013-07-01 10:11:12", "customer_city": " x "}
+    path = tmp_path / "wide"
+    path.mkdir()
+    (path / "a.csv").write_text(",".join(names) + "\n" + ",".join(line.values()) + "\n")
+    read = read_order_detail(spark, str(path), strict_times=True)
+    row = read.first()
+    assert {float(row[c]) for c in number} == {3.0} and row.customer_city == "x" and row.goods_list_time is None
+    explained = spark._jvm.PythonSQLUtils.explainString(read._jdf.queryExecution(), "codegen")
+    assert all(int(size) <= 8000 for size in re.findall(r"maxMethodCodeSize:(\d+)", explained))
+    for bad in ("3.5", "x"):
+        (path / "a.csv").write_text(",".join(names) + "\n" + ",".join({**line, "goods_id": bad}.values()) + "\n")
+        with pytest.raises(Exception, match=f"goods_id: {bad} does not parse"):
+            read_order_detail(spark, str(path)).collect()
+
+
 def test_csv_puts_the_index_first(spark, tmp_path):
     write_csv(spark.createDataFrame([(1, 7)], "result int, customer_id long"), str(tmp_path / "o"), index="customer_id")
     text = {line for name in glob.glob(f"{tmp_path}/o/part-*") for line in open(name).read().splitlines()}
