@@ -81,8 +81,8 @@ def _values(df, columns):
     return rows.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def exact_quantiles(df: DataFrame, columns, probs) -> DataFrame:
-    """(column, p0, p1, …): exact quantiles with linear interpolation between neighbours.
+def _exact_figures(df, columns, probs):
+    """(column, total, mean, std, min, max, p0, p1, …) of the columns with values, from one pass over the lines.
 
     Values are counted first, so repeated values are one row; ranks come from running totals over
     the sorted distinct values, which stay range-partitioned. No task holds a whole column.
@@ -91,8 +91,9 @@ def exact_quantiles(df: DataFrame, columns, probs) -> DataFrame:
     counts = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     ranked = running_totals(counts, "value", ["n"], groups=["column"])
     # one row per profiled column
-    totals = F.broadcast(ranked.groupBy("column").agg(F.sum("n").alias("total")))
-    ranked = ranked.join(totals, "column")
+    totals = ranked.groupBy("column").agg(
+        F.sum("n").alias("total"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"))
+    ranked = ranked.join(F.broadcast(totals), "column")
     found, result = [], []
     for i, p in enumerate(probs):
         place = F.lit(float(p)) * (F.col("total") - 1)
@@ -102,7 +103,16 @@ def exact_quantiles(df: DataFrame, columns, probs) -> DataFrame:
         part = F.lit(float(p)) * (F.col("total") - 1)
         lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
         result.append((lo + (hi - lo) * (part - F.floor(part))).alias(f"p{i}"))
-    return ranked.groupBy("column").agg(F.first("total").alias("total"), *found).select("column", *result)
+    away = F.col("value") - F.col("mean")
+    whole = ["total", "mean", "min", "max"]
+    out = ranked.groupBy("column").agg(*[F.first(c).alias(c) for c in whole], F.sum(F.col("n") * away * away).alias("squares"), *found)
+    std = F.when(F.col("total") > 1, F.sqrt(F.col("squares") / (F.col("total") - 1)))
+    return out.select("column", *whole, std.alias("std"), *result)
+
+
+def exact_quantiles(df: DataFrame, columns, probs) -> DataFrame:
+    """(column, p0, p1, …): exact quantiles with linear interpolation between neighbours."""
+    return _exact_figures(df, columns, probs).select("column", *[f"p{i}" for i in range(len(probs))])
 
 
 def quantile(df: DataFrame, col: str, q: float, method="exact") -> DataFrame:
@@ -115,18 +125,19 @@ def quantile(df: DataFrame, col: str, q: float, method="exact") -> DataFrame:
 def describe_numeric(df: DataFrame, columns=None, method="exact") -> DataFrame:
     """(column, count, mean, std, min, q25, q50, q75, max)."""
     columns = columns or numeric_columns(df)
-    kinds = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    if method == "approx":
-        kinds["q"] = lambda x: F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000)
-    # all columns in one pass and one row; a column without values shows with count 0
-    values = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
-    row = df.agg(*[make(values[c]).alias(f"{kind}_{c}") for c in columns for kind, make in kinds.items()])
-    rows = _long(row, columns, {kind: (lambda n, kind=kind: F.col(f"{kind}_{n}")) for kind in kinds})
     if method == "approx":
+        kinds = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
+                 "q": lambda x: F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000)}
+        # all columns in one pass and one row; a column without values shows with count 0
+        values = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+        row = df.agg(*[make(values[c]).alias(f"{kind}_{c}") for c in columns for kind, make in kinds.items()])
+        rows = _long(row, columns, {kind: (lambda n, kind=kind: F.col(f"{kind}_{n}")) for kind in kinds})
         rows = rows.withColumns({f"q{p}": F.col("q")[i] for i, p in enumerate((25, 50, 75))})
     else:
-        quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).toDF("column", "q25", "q50", "q75")
-        rows = rows.join(quartiles, "column", "left")
+        # the counted values give all figures; a column without values shows with count 0
+        names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
+        figures = _exact_figures(df, columns, [0.25, 0.5, 0.75]).withColumnsRenamed({"total": "count", "p0": "q25", "p1": "q50", "p2": "q75"})
+        rows = names.join(figures, "column", "left").fillna(0, "count")
     return rows.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 

@@ -99,3 +99,15 @@ def test_hours_and_counts(make_lines):
     assert [tuple(r) for r in P.hourly_counts(df).collect()] == [(0, 1), (10, 2)]
     assert [tuple(r) for r in P.orders_per_customer(df).collect()] == [(1, 1), (2, 1)]
     assert [tuple(r) for r in P.spend_per_customer(df).collect()] == [(1, 10), (2, 0)]
+
+
+def test_description_reads_the_lines_once(spark, tmp_path):
+    values = [3.0, 3.0, -1.5, 8.0, None, float("nan")]
+    rows = [(v, 7 if i == 0 else None, None) for i, v in enumerate(values)]
+    spark.createDataFrame(rows, "x double, one int, none int").write.parquet(str(tmp_path / "t"))
+    table = P.describe_numeric(spark.read.parquet(str(tmp_path / "t")))
+    assert "FileScan" not in table._jdf.queryExecution().toString()  # all figures come from the counted values
+    got = {r["column"]: r for r in table.collect()}
+    assert tuple(got["x"])[1:] == pytest.approx((4, 3.125, np.std([3, 3, -1.5, 8], ddof=1), -1.5, 1.875, 3, 4.25, 8))
+    assert tuple(got["one"])[1:] == (1, 7, None, 7, 7, 7, 7, 7)
+    assert tuple(got["none"])[1:] == (0, *[None] * 7)
