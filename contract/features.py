@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from buycast.operators.clean import clean_events, label_buyers, labelled, stack_splits, unlabelled, upto
 from buycast.operators.encode import apply_codes, dense_ids, encode_each, fit_codes, last_pair, vocab_sizes
 from buycast.operators.profile import narrow_types
-from buycast.operators.static import agg_features
+from buycast.operators.static import REQUIRED, agg_features
 from buycast.operators.windows import daily, pivot_daily, window_features
 from buycast.plans.features import KEYS as KEYS_OF_FEATURES
 from buycast.plans.features import build_splits, feature_columns, feature_set, single_cutoff_tables, slot_tables
 from buycast.plans.increments import add_month, add_months
 from buycast.plans.increments import features_from_months as from_months
+from buycast.runtime import stored
 from buycast.sources import (
     events_as_orders, read_codes, read_customers, read_families, read_features, read_order_detail, rejected_lines, write_bucketed,
     write_codes, write_csv, write_features,
@@ -278,7 +279,8 @@ def features_both(spark, sf):
 @query(with_od("SELECT * FROM features", cuts_sql(SPLITS), *feature_sql_ctes("both")))
 def features_from_months(spark, sf):
     """All features from monthly states: the past in one pass, then the last months one by one."""
-    root, rows = scratch(spark, "months"), lines(spark, sf)
+    # the states and the daily sums of every call read the lines
+    root, rows = scratch(spark, "months"), stored(lines(spark, sf, *REQUIRED, "line_key"))
     add_months(rows, root, "1990-01", "2001-05", KEY)
     for month in ("2001-06", "2001-07", "2001-08"):
         add_month(rows, root, month, KEY)

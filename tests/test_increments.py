@@ -85,3 +85,14 @@ def test_families_in_buckets_are_joined_without_a_shuffle(spark, tmp_path):
     assert one <= 4
     for name in ("test_family_agg", "test_family_time", "test_again"):
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_query_joins_the_lines_once_for_all_months(spark, monkeypatch):
+    from contract import features as queries
+
+    given = []
+    for name in ("add_month", "add_months"):
+        monkeypatch.setattr(queries, name, lambda lines, *_: given.append(plan(lines)))
+    monkeypatch.setattr(queries, "from_months", lambda *_, **__: spark.range(1))
+    queries.features_from_months(spark, "/root/testdata/sf0.001")
+    assert len(given) == 4 and not any("Join" in text for text in given)
