@@ -176,3 +176,15 @@ def test_training_rows_are_dealt_over_tasks(spark):
     state = B.binned(rows, ["a"], B.cut_points(rows, ["a"]))
     assert state.rdd.getNumPartitions() > 1 and state.count() == 60_000
     assert state.groupBy("codes").count().count() == 7
+
+
+def test_passes_read_blocks_of_rows_and_trees_do_not_depend_on_them(make, monkeypatch):
+    rows = rows_of(300, 5)
+    growth = B.Growth(leaves=7, lam=0.5)
+    whole = B.boost(make(rows), FEATURES, 4, 0.3, growth)
+    coded = B.binned(make(rows), FEATURES, B.cut_points(make(rows), FEATURES))
+    assert B._packed(coded.coalesce(1), 3).count() == 1
+    monkeypatch.setattr(B, "BLOCK_ROWS", 7)
+    blocks = B._packed(coded.coalesce(1), 3).collect()
+    assert sorted(b.n for b in blocks) == [300 % 7, *[7] * (300 // 7)] and all(len(b.codes) == 3 * b.n for b in blocks)
+    assert B.boost(make(rows), FEATURES, 4, 0.3, growth).nodes == whole.nodes
