@@ -71,3 +71,21 @@ def test_single_cutoff_tables_read_the_lines_once(spark, make_lines):
     assert {(r.customer_id, r.label, r.order_detail_count) for r in train.collect()} == {(1, 1, 1.0)}
     assert {(r.customer_id, r.order_detail_count) for r in test.collect()} == {(1, 3.0), (2, 2.0), (3, 1.0)}
     assert read.value == 6
+
+
+def test_a_split_of_windows_reads_its_own_folder_only(narrow):
+    from buycast.plans.features import build_splits
+
+    splits = build_splits(narrow, CUTS, "time", ord_col=list(ORDER_KEY), floor="2001-01-01")
+    for name, table in splits.items():
+        scan = next(line for line in plan(table).splitlines() if "FileScan" in line)
+        assert f"= {name})" in re.search(r"PartitionFilters: \[(.*?)\]", scan).group(1)
+        assert table.columns[0] == "customer_id" and "split" not in table.columns
+
+
+def test_stored_folders_keep_columns_and_rows(spark):
+    from buycast.runtime import stored
+
+    df = spark.createDataFrame([("b", 1, None), ("a", 2, 0.5), ("a", 3, 1.5)], "part string, n int, x double")
+    back = stored(df, folders=["part"])
+    assert back.schema == df.schema and sorted(back.collect()) == sorted(df.collect())
