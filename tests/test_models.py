@@ -93,3 +93,13 @@ def test_best_candidates_equal_the_maximum_over_all_pairs(spark):
     search = R.CandidateSearch(model, customers, goods, 2)
     counted = search.pairs().first()
     assert counted.pairs == 30 * 12 and 30 * 2 <= counted.looked_at <= counted.pairs
+
+
+def test_samples_are_dealt_before_they_get_tokens(spark, monkeypatch):
+    seen, deal = [], R.dealt
+    monkeypatch.setattr(R, "dealt", lambda df: seen.append(df.columns) or deal(df))
+    samples = spark.createDataFrame(
+        [(c, [1, 2], [1, 2], g, 1, g % 2) for c in range(1, 6) for g in range(1, 5)],
+        "customer_id int, history_goods array<int>, history_classes array<int>, candidate_good int, candidate_class int, label int")
+    model = R.fit_recommender(samples, {"factorSize": 2, "maxIter": 2, "numFeatures": 64})
+    assert seen == [samples.columns] and R.score_pairs(model, samples).count() == 20
