@@ -6,6 +6,7 @@ from compare import by
 from buycast.plans import models as L
 from buycast.plans import recommend as R
 from buycast.sources import load_model, save_model
+from contract import learning
 
 FEATURES = ["a", "b", "c"]
 FAST = {"reg": {"maxIter": 50}, "gd": {"steps": 20}, "xgb": {"rounds": 5}, "lgb": {"rounds": 5}, "mlp": {"hidden": [8], "maxIter": 40}}
@@ -103,3 +104,19 @@ def test_samples_are_dealt_before_they_get_tokens(spark, monkeypatch):
         "customer_id int, history_goods array<int>, history_classes array<int>, candidate_good int, candidate_class int, label int")
     model = R.fit_recommender(samples, {"factorSize": 2, "maxIter": 2, "numFeatures": 64})
     assert seen == [samples.columns] and R.score_pairs(model, samples).count() == 20
+
+
+def test_recommender_scores_learn_with_the_default_steps(spark, monkeypatch):
+    """The registered query fits the factorisation machine whole: no fewer steps, factors or buckets than the defaults."""
+    asked = []
+    for name, value in (("lines", None), ("encode_events", (None, None)), ("sequence_samples", "samples")):
+        monkeypatch.setattr(learning, name, lambda *a, value=value, **k: value)
+    monkeypatch.setattr(learning, "stored", lambda df: df)
+    for name in ("user_tokens", "item_tokens"):
+        monkeypatch.setattr(R, name, lambda df: df)
+    monkeypatch.setattr(R, "fit_recommender", lambda samples, params=None: asked.append(params))
+    monkeypatch.setattr(L, "evaluate", lambda model, samples: samples)
+    assert learning.recommender_scores_of_test_month(None, None) == "samples"
+    stages, wanted = L.get_estimator("fm", params=asked[0]).getStages(), L.DEFAULTS["fm"]
+    assert stages[0].getNumFeatures() == stages[1].getNumFeatures() == wanted["numFeatures"]
+    assert (stages[-1].getFactorSize(), stages[-1].getMaxIter()) == (wanted["factorSize"], wanted["maxIter"])
