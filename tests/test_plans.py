@@ -1,8 +1,11 @@
 """What the physical plans must look like at any scale."""
 
+import functools
 import re
 
 import pytest
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from buycast.operators.cutoffs import rolling_splits
 from buycast.operators.static import customer_features
@@ -89,3 +92,38 @@ def test_stored_folders_keep_columns_and_rows(spark):
     df = spark.createDataFrame([("b", 1, None), ("a", 2, 0.5), ("a", 3, 1.5)], "part string, n int, x double")
     back = stored(df, folders=["part"])
     assert back.schema == df.schema and sorted(back.collect()) == sorted(df.collect())
+
+
+def test_parts_meet_the_lines_before_the_orders_do(spark):
+    """What comes from parts, orders and customers is not shuffled by part, and an order's lines end up together."""
+    text = order_detail(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.findall(r"Join Inner, .*?(l_(?:part|order)key)", text)[:2] == ["l_orderkey", "l_partkey"]
+
+
+def test_repeated_parts_orders_and_missing_keys_multiply_and_drop_lines_as_before(spark, tmp_path):
+    """One row per line, order and part that match; the sums of an order count each of its lines once, with or without a part."""
+    for name in ("nation", "region", "customer"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    line, order, part = (spark.read.parquet(f"{SF}/{n}.parquet").limit(1).cache() for n in ("lineitem", "orders", "part"))
+    change = lambda df, **values: df.withColumns({c: F.lit(v).cast(df.schema[c].dataType) for c, v in values.items()})
+    lines = [change(line, l_orderkey=o, l_partkey=p, l_quantity=q) for o, p, q in
+             ((1, 1, 2), (1, 2, 3), (1, 9, 5), (1, None, 7), (2, 1, 11), (None, 1, 13))]
+    orders = [change(order, o_orderkey=o, o_custkey=1) for o in (1, 1, 3, None)]
+    parts = [change(part, p_partkey=p) for p in (1, 1, 2, None)]
+    for name, tables in (("lineitem", lines), ("orders", orders), ("part", parts)):
+        functools.reduce(DataFrame.union, tables).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = order_detail(spark, str(tmp_path)).select("goods_id", "order_detail_goods_num", "order_total_num", "order_count").collect()
+    assert sorted(map(tuple, got)) == [(1, 2, 17, 4)] * 4 + [(2, 3, 17, 4)] * 2
+
+
+def test_features_that_lie_by_customer_are_joined_where_they_are(spark, narrow):
+    """Also in sessions that join only on a layout by all keys, as is Spark's default."""
+    from buycast.plans.features import feature_set
+
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        assert "Exchange hashpartitioning(split" not in plan(feature_set(narrow, CUTS, "time", ord_col=ORDER_KEY, floor="2001-01-01"))
+    finally:
+        spark.conf.set(name, was)
