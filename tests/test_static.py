@@ -3,7 +3,7 @@ import math
 from compare import by
 
 from buycast.operators.cutoffs import cutoff, rolling_splits
-from buycast.operators.static import STATIC_COLUMNS, agg_features
+from buycast.operators.static import STATIC_COLUMNS, agg_features, partial_rows
 from buycast.plans.features import build_splits, feature_columns, feature_set
 
 
@@ -125,3 +125,16 @@ def test_unseen_and_missing_cities(make_lines):
     assert splits["test"].columns == splits["train"].columns[:-1]
     # no province anywhere: the missing text is an ordinary class
     assert {r["customer_province"] for r in splits["test"].collect()} == {0}
+
+
+def test_partial_rows_keep_no_counts_that_the_null_pattern_gives(make_lines):
+    df = make_lines(
+        {"customer_id": 1, "order_id": 1, "order_pay_time": "2013-01-01", "goods_id": 7, "goods_price": 4, "order_total_discount": 1},
+        {"customer_id": 1, "order_id": 2, "order_pay_time": "2013-01-02", "goods_id": 7, "order_total_discount": 4},
+        {"customer_id": 1, "order_pay_time": "2013-01-03", "goods_price": 8},
+    )
+    kept = partial_rows(df, ["customer_id"], ["order_pay_time", "order_detail_id"], extras=True).columns
+    assert [c for c in kept if c.startswith("n_")] == ["n_order_id", "n_rows"]
+    row = by(agg_features(df, extras=True), "customer_id")[1]
+    assert (row["goods_price_mean"], row["order_total_discount_mean"], row["goods_status_mean"]) == (6, 2.5, -999)
+    assert (row["goods_count"], row["order_count"], row["order_detail_count"]) == (2, 2, 3)
