@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from buycast.runtime import beside
+
 KEYS = ("split", "cutoff", "customer_id")
 
 
@@ -27,4 +29,4 @@ def read_families(spark: SparkSession, first: str, second: str) -> DataFrame:
     """Two families side by side, one row per row of ``first``; their buckets meet in place."""
     # the buckets are read as they lie also where the tables are small, and neither is sent to all tasks
     left, right = spark.table(first).hint("merge"), spark.table(second)
-    return left.join(right.drop("label"), list(KEYS), "left")
+    return beside(left, right.drop("label"), "customer_id", ["split", "cutoff"])
