@@ -28,17 +28,17 @@ def add_month(lines: DataFrame, root: str, month: str, ord_col=ORDER):
     Only that month's lines are asked of the source. A month without lines leaves empty tables.
     """
     states, days = _reduced(lines, *month_bounds(month), [], ord_col)
-    states.write.mode("overwrite").parquet(f"{root}/states/month={month}")
-    days.write.mode("overwrite").parquet(f"{root}/days/month={month}")
+    for table, kind in ((states, "states"), (days, "days")):
+        table.write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/{kind}/month={month}")
 
 
 def add_months(lines: DataFrame, root: str, first: str, last: str, ord_col=ORDER):
     """``add_month`` for every month from ``first`` to ``last`` that has lines, in one pass over them."""
     states, days = _reduced(lines, month_bounds(first)[0], month_bounds(last)[1], ["month"], ord_col)
     days = days.withColumn("month", F.date_format("day", "yyyy-MM"))
+    # written where they were merged: to gather the rows of a month would be another shuffle of all states
     for table, kind in ((states, "states"), (days, "days")):
-        # about one file per month; large months are split
-        table.hint("rebalance", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(f"{root}/{kind}")
+        table.write.mode("overwrite").options(partitionOverwriteMode="dynamic", compression="zstd").partitionBy("month").parquet(f"{root}/{kind}")
 
 
 def _months(spark: SparkSession, root, kind):

@@ -1,3 +1,4 @@
+import datetime as dt
 import re
 
 import pytest
@@ -96,3 +97,37 @@ def test_query_joins_the_lines_once_for_all_months(spark, monkeypatch):
     monkeypatch.setattr(queries, "from_months", lambda *_, **__: spark.range(1))
     queries.features_from_months(spark, "/root/testdata/sf0.001")
     assert len(given) == 4 and not any("Join" in text for text in given)
+
+
+def test_states_are_written_where_they_were_merged(spark, tmp_path, monkeypatch):
+    """No further shuffle gathers the states of a month."""
+    lines = order_detail(spark, SF)
+    monkeypatch.setattr(type(lines), "hint", lambda *_: pytest.fail("shuffled again"))
+    monkeypatch.setattr(type(lines), "repartition", lambda *_: pytest.fail("shuffled again"))
+    add_months(lines, str(tmp_path), "2001-06", "2001-07", ORDER_KEY)
+    assert {r.month for r in spark.read.parquet(f"{tmp_path}/states").select("month").collect()} == {"2001-06", "2001-07"}
+
+
+def test_families_are_joined_in_their_buckets_in_any_session(spark, tmp_path):
+    """The buckets hold whole customers; a row meets the row of its own split and cut-off, and one without a match stays."""
+    def family(value, *keys):
+        return spark.createDataFrame([(*k, f"{value}{i}", 1) for i, k in enumerate(keys)],
+                                     f"split string, cutoff date, customer_id long, {value} string, label int")
+
+    a, b = dt.date(2013, 1, 31), dt.date(2013, 2, 28)
+    left = family("x", ("t", a, 1), ("v", b, 1), ("t", b, 1), ("t", a, 2), ("t", a, None))
+    right = family("y", ("t", a, 1), ("v", b, 1), ("v", a, 1), ("t", a, 3), ("t", a, None))
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        for table, df in (("beside_x", left), ("beside_y", right)):
+            write_bucketed(df, table, str(tmp_path / table), buckets=3)
+        both = read_families(spark, "beside_x", "beside_y")
+        assert "Exchange" not in plan(both)
+        want = left.join(right.drop("label"), ["split", "cutoff", "customer_id"], "left")
+        assert both.columns == left.columns + ["y"] and rows(both.select(want.columns)) == rows(want)
+    finally:
+        spark.conf.set(name, was)
+        spark.sql("DROP TABLE IF EXISTS beside_x")
+        spark.sql("DROP TABLE IF EXISTS beside_y")
