@@ -85,11 +85,11 @@ def read_customers(spark: SparkSession, path: str, numbered=False, **options) ->
     return global_index(rows, ["file", "block", "line"], "place").drop("file", "block", "line")
 
 
-def write_csv(df: DataFrame, path: str, index: str | None = None, mode="overwrite"):
-    """Write CSV with a header; ``index`` names a key column to put first."""
+def write_csv(df: DataFrame, path: str, index: str | None = None, mode="overwrite", **options):
+    """Write CSV with a header; ``index`` names a key column to put first. ``compression="gzip"`` packs each task's file."""
     if index is not None:
         df = df.select(index, *[c for c in df.columns if c != index])
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(header=True, **options).csv(path)
 
 
 def write_features(df: DataFrame, root: str, method: str, split: str):

@@ -51,7 +51,8 @@ def order_lines(spark, sf):
 def order_lines_from_csv(spark, sf):
     """The same lines written as CSV and read back by the CSV reader (whose line id is a number)."""
     path = scratch(spark, "lines")
-    write_csv(lines(spark, sf).drop("line_key", "order_detail_id"), path)
+    # the text of all lines is several times as long as the tables
+    write_csv(lines(spark, sf).drop("line_key", "order_detail_id"), path, compression="gzip")
     return plain(read_order_detail(spark, path, strict_times=True))
 
 

@@ -105,3 +105,19 @@ def test_array_and_number_helpers(spark):
     df = spark.createDataFrame([([1, 2, 3], float("inf"))], "a array<int>, x double")
     row = df.select(pad("a", 5), pad("a", 2), last_items("a", 2), last_items("a", 9), finite(F.col("x"))).first()
     assert list(row) == [[1, 2, 3, 0, 0], [1, 2, 3], [2, 3], [1, 2, 3], None]
+
+
+def test_the_csv_of_all_lines_is_packed(spark, monkeypatch):
+    """Its text is several times as long as the tables; packed files are read back alike."""
+    from contract import features
+
+    written = []
+
+    def noted(df, path, *args, **options):
+        written.append(path)
+        write_csv(df, path, *args, **options)
+
+    monkeypatch.setattr(features, "write_csv", noted)
+    back = features.order_lines_from_csv(spark, "/root/testdata/sf0.001")
+    assert {name.split(".", 1)[1] for name in glob.glob(f"{written[0].removeprefix('file:')}/part-*")} == {"csv.gz"}
+    assert back.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
